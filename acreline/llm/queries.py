@@ -18,6 +18,29 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from acreline.llm.linededup import dedup_lines
+
+    made = dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from acreline.llm.sharding import assign
+
+    made = assign(_read(spark, sf_dir, "documents"))
+    return made.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from acreline.llm.chat import digest, windows
+
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return digest(windows(turns.unionByName(more)))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from acreline.llm.decontaminate import find_contamination
 
@@ -33,8 +56,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_packing, op9_decontamination)}
+    return {f.__name__: f for f in (op4_packing, op5_line_dedup, op6_sharding, op8_chat_formatting, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from acreline.llm import linededup
+
+    return {"op5_line_dedup": linededup.ORACLE}
