@@ -12,6 +12,12 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from acreline.llm.nearjoin import jaccard_join
+
+    return jaccard_join(_read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from acreline.llm.packing import pack
 
@@ -56,7 +62,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_packing, op5_line_dedup, op6_sharding, op8_chat_formatting, op9_decontamination)}
+    return {f.__name__: f for f in (op3_ngram_jaccard_join, op4_packing, op5_line_dedup, op6_sharding, op8_chat_formatting, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
