@@ -232,3 +232,21 @@ def _merged(docs: DataFrame, passes: list[DataFrame]) -> DataFrame:
     return every.join(found, every["doc_id"].eqNullSafe(found["_d"]) & (every["n_words"] == found["_n"]), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("spans", F.array().cast(none)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The documents in which no window of an item occurs, all columns as they were; no shuffle."""
+    column = docs.columns.index("text")
+    for part in _chunks(benchmark, chunk_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(BenchmarkIndex(part))
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            for batch in batches:
+                clean = np.ones(len(batch), dtype=bool)
+                for at, _, data, offsets in textkit.text_slices(batch.column(column)):
+                    w = textkit.words(data, offsets, second=True)
+                    clean[at + np.unique(w.row[shared.value.match(w)[0]])] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs

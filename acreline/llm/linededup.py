@@ -109,3 +109,15 @@ select doc_id, count(*) as n_lines, count(*) filter (lost) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not lost), '')) as kept_sha256
 from m group by rid, doc_id
 """
+
+
+def keep_first_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """docs with the lines of ``min_docs`` documents left in the first of them only.
+
+    Documents that lose every line go; ``n_chars``, if there, follows the text.
+    """
+    made = dedup_lines(docs, min_docs, keep_first=True).where("_n_dropped < _n_lines")
+    made = made.withColumn("text", F.when(F.col("_n_dropped") > 0, F.col("_kept")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        made = made.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return made.select(*docs.columns)

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreline.llm import textkit
@@ -230,3 +230,11 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     known = known.select("k1", "k2", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     member = one.select("doc_id", "k1", "k2").join(known, ["k1", "k2"], "left").select(F.col("doc_id").alias("_d"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     return docs.select(F.col("doc_id").cast("long")).join(member, F.col("doc_id") == F.col("_d"), "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One document of each class, that with the smallest doc_id; rows without an id stay."""
+    first = jaccard_join(docs, threshold).where("doc_id = class_id").select("doc_id").distinct()
+    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    kept = docs.join(first, "doc_id", "left_semi").withColumn("_again", again).where("_again = 1").drop("_again")
+    return kept.select(*docs.columns).union(docs.where("doc_id is null"))

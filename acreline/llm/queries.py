@@ -12,6 +12,23 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from acreline.llm.ann import nearest
+
+    rows = _read(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.select("vec_id").where("vec_id % 50 = 0"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from acreline.llm.tokencounts import Rollup, count_tokens
+    from acreline.runtime import new_path
+
+    rollup = Rollup(spark, new_path(spark, "rollup"))
+    counted = count_tokens(_read(spark, sf_dir, "documents"))
+    rollup.apply("documents", counted.withColumns({"kind": F.lit("insert"), "old_tokens": F.lit(None).cast("long")}))
+    return rollup.totals()
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from acreline.llm.nearjoin import jaccard_join
 
@@ -38,6 +55,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from acreline.llm.quality import classify
+
+    return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from acreline.llm.chat import digest, windows
 
@@ -61,11 +84,32 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from acreline.llm.urlfilter import judge
+
+    # a label stands for the page of the same number
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    outcomes = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return judge(_read(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_ngram_jaccard_join, op4_packing, op5_line_dedup, op6_sharding, op8_chat_formatting, op9_decontamination)}
+    every = (
+        op1_nearest_neighbours,
+        op2_token_counts,
+        op3_ngram_jaccard_join,
+        op4_packing,
+        op5_line_dedup,
+        op6_sharding,
+        op7_quality,
+        op8_chat_formatting,
+        op9_decontamination,
+        op10_url_filters,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    from acreline.llm import linededup
+    from acreline.llm import linededup, urlfilter
 
-    return {"op5_line_dedup": linededup.ORACLE}
+    return {"op5_line_dedup": linededup.ORACLE, "op10_url_filters": urlfilter.oracle()}
