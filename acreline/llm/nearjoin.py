@@ -6,9 +6,9 @@ signatures are cut into bands; band and row counts come from the wanted recall
 at the threshold. Representatives are shuffled on band hashes. Those that meet
 in a band are verified on their full shingle sets.
 
-Verification never lists the pairs of a bucket. Representatives that meet go
-into blocks of bounded bytes; two blocks are compared if any band joins them,
-and a comparison is a product of sparse 0/1 matrices in slices of columns. A
+Verification never lists the pairs of a bucket. Representatives that meet are
+connected into candidate components, and these are cut into blocks of bounded
+size; two blocks are compared if any band joins them, and a comparison is a product of sparse 0/1 matrices in slices of columns. A
 row leaves it per representative: how many documents it is linked to there,
 and one link to the smallest representative of its part. Links are then
 connected into classes.
@@ -37,8 +37,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Share of pairs at exactly the threshold that meet in a band; more similar ones meet more surely.
 RECALL = 0.9995
-#: UTF-8 bytes of text in a block of representatives.
-BLOCK_BYTES = 2 << 20
+#: Size of a block of representatives, in UTF-8 bytes of text and ROW_BYTES more for each.
+BLOCK_BYTES, ROW_BYTES = 4 << 20, 1000
 #: Cells of one dense slice in a comparison.
 CELLS = 1 << 22
 
@@ -206,10 +206,19 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     met = hashed.groupBy("band", "hash").agg(F.min("rep").alias("low"), F.count("*").alias("n")).where("n > 1")
     met = stored(hashed.join(met.select("band", "hash", "low"), ["band", "hash"]), "met")
 
-    # blocks: representatives with one nearest low stand together, in salted parts of bounded bytes
-    centre = met.groupBy("rep").agg(F.min("low").alias("centre")).join(reps.select("rep", "n_bytes"), "rep")
-    parts = centre.groupBy("centre").agg(F.ceil(F.sum("n_bytes") / F.lit(block_bytes)).alias("parts"))
-    blocks = stored(centre.join(parts, "centre").select("rep", F.xxhash64("centre", F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block")), "blocks")
+    # blocks: a small component is one; in a large one, those with one lowest neighbour stand together
+    centre = met.groupBy("rep").agg(F.min("low").alias("centre"))
+    component = connected_components(met.select(F.col("rep").alias("u"), F.col("low").alias("v")), small=0)
+    placed = centre.join(component.withColumnRenamed("node", "rep"), "rep").join(reps.select("rep", (F.col("n_bytes") + ROW_BYTES).alias("size")), "rep")
+    of_centre = placed.groupBy("component", "centre").agg(F.sum("size").alias("near"))
+    of_all = of_centre.groupBy("component").agg(F.sum("near").alias("all"))
+    parts = lambda c: F.ceil(F.col(c) / F.lit(block_bytes))
+    block = (
+        F.when(parts("all") == 1, F.xxhash64("component"))
+        .when(F.col("near") * 2 >= block_bytes, F.xxhash64("component", "centre", F.pmod(F.xxhash64("rep"), parts("near"))))
+        .otherwise(F.xxhash64("component", F.pmod(F.xxhash64("centre"), parts("all"))))
+    )
+    blocks = stored(placed.join(of_centre, ["component", "centre"]).join(of_all, "component").select("rep", block.alias("block")), "blocks")
 
     # which blocks to compare: those that a bucket joins
     cells = met.select("rep", "band", "hash").join(blocks, "rep").select("band", "hash", "block").distinct()
@@ -225,7 +234,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     found = stored(each.groupBy("pair").applyInArrow(lambda table: _compare(table, threshold), "rep long, to long, links long"), "found")
 
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    classes = connected_components(found.select(F.col("rep").alias("u"), F.col("to").alias("v")))
+    classes = connected_components(found.select(F.col("rep").alias("u"), F.col("to").alias("v")), small=0)
     known = reps.join(linked, "rep", "left").join(classes.withColumnRenamed("node", "rep"), "rep", "left")
     known = known.select("k1", "k2", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     member = one.select("doc_id", "k1", "k2").join(known, ["k1", "k2"], "left").select(F.col("doc_id").alias("_d"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
