@@ -228,6 +228,12 @@ def chamfer(a: list[Rings], b: list[Rings], pitch: float = 15.0) -> float | None
     return float((distance_to(boundary_samples(a, pitch), b).mean() + distance_to(boundary_samples(b, pitch), a).mean()) / 2)
 
 
+def touches(a: list[Rings], b: list[Rings]) -> bool:
+    """Whether borders meet, at a point too."""
+    near = lambda s, t: distance_to(np.concatenate([r for p in s for r in p]), t).min() <= 1e-6
+    return bool(near(a, b) or near(b, a))
+
+
 def _doubles(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
 
@@ -280,3 +286,8 @@ def wkb_chamfer(a: pa.Array, b: pa.Array) -> pa.Array:
 def wkb_parts(g: pa.Array) -> pa.Array:
     """A multipolygon's polygons; other kinds give none."""
     return pa.array([None if w is None else [encode_polygon(p) for p in decode(w)[1]] if decode(w)[0] == 3 else [] for w in g.to_pylist()], pa.list_(pa.binary()))
+
+
+@F.arrow_udf(T.BooleanType())
+def wkb_touches(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([None if v is None or w is None else touches(decode(v)[1], decode(w)[1]) for v, w in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.bool_())

@@ -79,7 +79,7 @@ def postprocess(shapes: DataFrame, boundaries: DataFrame, p: Params, cell: float
     near = enrich.seam_candidates(national.select("oid", "tile", "STATEFIPS", "geometry", *(f"CDL{y}" for y in p.years), "xmin", "ymin", "xmax", "ymax"), slack=1.0)
     same = ["STATEFIPS", *(f"CDL{y}" for y in p.years)]
     met = box_join(near, near, cell, tuple(same)).where(F.col("a.oid") < F.col("b.oid"))
-    met = met.where(touches("a.geometry", "b.geometry")).select(F.col("a.oid").alias("u"), F.col("b.oid").alias("v"))
+    met = met.where(g.wkb_touches("a.geometry", "b.geometry")).select(F.col("a.oid").alias("u"), F.col("b.oid").alias("v"))
     linked = stored(connected_components(met), "linked")
     groups = national.join(linked.withColumnsRenamed({"node": "oid", "component": "root"}), "oid")
     united = vector.merge_shapes(groups.select("root", "geometry", "area_sqm"), ["root"]).select(F.col("root").alias("oid"), "geometry")
@@ -91,25 +91,6 @@ def postprocess(shapes: DataFrame, boundaries: DataFrame, p: Params, cell: float
     return made.withColumns({f"{prefix}YEARS": tag, f"{prefix}ACRES": codes.acres(F.col("Shape_area")), f"{prefix}ID": codes.field_id(F.col("STATEFIPS"), tag, F.col("oid"))}).drop("tile", "label")
 
 
-def touches(a: str, b: str):  # noqa: ANN201
-    """Whether borders meet, at a point too."""
-    import pyarrow as pa
-    from pyspark.sql import types as T
-
-    from acreline.functions import geometry as g
-
-    @F.arrow_udf(T.BooleanType())
-    def meet(x: pa.Array, y: pa.Array) -> pa.Array:
-        out = []
-        for v, w in zip(x.to_pylist(), y.to_pylist(), strict=True):
-            p, q = g.decode(v)[1], g.decode(w)[1]
-            near = lambda s, t: g.distance_to(g.np.concatenate([r for part in s for r in part]), t).min() <= 1e-6
-            out.append(bool(near(p, q) or near(q, p)))
-        return pa.array(out, pa.bool_())
-
-    return meet(a, b)
-
-
 def write_national(table: DataFrame, path: str) -> None:
     sinks.write_geoparquet(table, f"{path}/national")
     sinks.write_states(table, f"{path}/states")
