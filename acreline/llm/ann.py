@@ -13,6 +13,8 @@ every vector is indexed. The number of leaves to probe comes from the sample
 too: the fewest that hold PROBE_RECALL of the nearest neighbours of up to 500
 sampled vectors. Equal vectors are one class with its smallest ids; a leaf is
 split into salted blocks of bounded size, and its queries go to each block.
+Where a block holds more vectors that the codes cannot tell apart than are
+ranked again, such as a large group of near copies, all of it is ranked.
 
 Vectors that are null, empty, zero, hold null or non-finite numbers or differ
 in length from most take no part, nor do rows with a null vec_id. Repeated
@@ -34,10 +36,10 @@ from acreline.runtime import stored
 
 NEAREST = 5
 SAMPLE = 20_000
-PROBE_RECALL = 0.97
+PROBE_RECALL = 0.985
 LEAF_ROWS, BLOCK_ROWS, MOST_LEAVES = 2048, 4096, 1024
 #: Candidates of each block that are ranked exactly.
-RERANK = 96
+RERANK = 192
 
 
 def valid_vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
@@ -95,7 +97,15 @@ def _search(table: pa.Table, index: annindex.Index, keep: int, rerank: int) -> p
         found.sort(axis=1)
         exact = np.einsum("qd,qkd->qk", q, x[found])
         order = np.argsort(-exact, axis=1, kind="stable")[:, :best]
-        out.append((np.repeat(rep[own], best), rep[theirs][np.take_along_axis(found, order, axis=1)].ravel(), np.take_along_axis(exact, order, axis=1).ravel()))
+        hits, scores = np.take_along_axis(found, order, axis=1), np.take_along_axis(exact, order, axis=1)
+        if top < len(theirs):
+            # where more are within the codes' error of the best than were ranked, the whole block is
+            edge = -np.partition(-rough, best - 1, axis=1)[:, best - 1] - 2 * index.noise
+            for i in np.flatnonzero((rough >= edge[:, None]).sum(axis=1) > top):
+                every = x @ q[i]
+                hits[i] = np.argsort(-every, kind="stable")[:best]
+                scores[i] = np.einsum("kd,d->k", x[hits[i]], q[i])
+        out.append((np.repeat(rep[own], best), rep[theirs][hits].ravel(), scores.ravel()))
     return pa.table(dict(zip(("query", "rep", "score"), (pa.array(np.concatenate(v)) for v in zip(*out, strict=True)), strict=True)))
 
 

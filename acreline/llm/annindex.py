@@ -34,6 +34,7 @@ class Index:
     centres: np.ndarray  # leaves x dim
     books: np.ndarray  # subspaces x CODES x width
     eta: float
+    noise: float = 0.0  # typical error of a scanned inner product
 
     @property
     def subspaces(self) -> int:
@@ -121,4 +122,7 @@ def fit(x: np.ndarray, leaves: int, width: int = 2, threshold: float = 0.2, roun
             np.add.at(b, codes[:, j], right)
             some = np.bincount(codes[:, j], minlength=CODES) > 0
             index.books[j, some] = np.linalg.solve(a[some], b[some][:, :, None])[:, :, 0]
+    some = slice(0, 4096)
+    error = index._parts(residual[some]) - index.books[np.arange(m)[None, :], index.assign(residual[some], x[some])]
+    index.noise = float(np.sqrt((error**2).sum(axis=(1, 2)).mean() / dim))
     return index
