@@ -291,3 +291,24 @@ def wkb_parts(g: pa.Array) -> pa.Array:
 @F.arrow_udf(T.BooleanType())
 def wkb_touches(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([None if v is None or w is None else touches(decode(v)[1], decode(w)[1]) for v, w in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.bool_())
+
+
+def lon_lat(points: np.ndarray, rounds: int = 6) -> np.ndarray:
+    """Albers metres to degrees."""
+    from acreline.functions import geo
+
+    n, c, rho0 = geo.albers_constants()
+    x, dy = points[:, 0], rho0 - points[:, 1]
+    q = (c - (x * x + dy * dy) * (n * n) / (geo.A * geo.A)) / n
+    phi = np.arcsin(q / 2)
+    for _ in range(rounds):
+        s = np.sin(phi)
+        w = 1 - geo._E2 * s * s
+        phi = phi + w * w / (2 * np.cos(phi)) * (q / (1 - geo._E2) - s / w + np.log((1 - geo._E * s) / (1 + geo._E * s)) / (2 * geo._E))
+    return np.stack([geo.LON0 + np.degrees(np.arctan2(x, dy)) / n, np.degrees(phi)], axis=1)
+
+
+@F.arrow_udf(T.BinaryType())
+def wkb_lon_lat(g: pa.Array) -> pa.Array:
+    """Polygons in degrees."""
+    return pa.array([None if w is None else encode([[lon_lat(r) for r in p] for p in decode(w)[1]]) for w in g.to_pylist()], pa.binary())

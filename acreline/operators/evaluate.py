@@ -176,3 +176,28 @@ def region_summary(records: DataFrame) -> DataFrame:
 def quartiles(df: DataFrame, column: str) -> DataFrame:
     q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     return df.agg(q.alias("_q"), F.min(column).alias("min"), F.max(column).alias("max")).select(F.col("_q")[1].alias("median"), F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"), "min", "max")
+
+
+def overlay_areas(ours: DataFrame, truth: DataFrame, overlap: Overlap = _boxes, cell: float = CELL) -> DataFrame:
+    """``km2_both, km2_union, km2_difference`` of two coverages, without building either geometry."""
+    one = lambda s, n: s.agg(F.coalesce(F.sum("area"), F.lit(0.0)).alias(n)).withColumn("_k", F.lit(1))
+    i = box_join(ours, truth, cell).agg(F.coalesce(F.sum(overlap()), F.lit(0.0)).alias("_i")).withColumn("_k", F.lit(1))
+    met = one(ours, "_a").join(one(truth, "_b"), "_k").join(i, "_k")
+    both = F.col("_a") + F.col("_b")
+    return met.select((F.col("_i") / 1e6).alias("km2_both"), ((both - F.col("_i")) / 1e6).alias("km2_union"), ((both - 2 * F.col("_i")) / 1e6).alias("km2_difference"))
+
+
+def tile_parity(ours: DataFrame, truth: DataFrame, windows: DataFrame, overlap: Overlap = _boxes, cell: float = CELL) -> DataFrame:
+    """window_parity with both sides clipped, and the acres that only one side covers."""
+    out = window_parity(ours, truth, windows, overlap, clip_intersection=True, cell=cell)
+    only = lambda c: (F.col(c) - F.col("km2_both")) * 1e6 / ACRE_M2
+    return out.withColumns({"only_ours_acres": only("km2_ours"), "only_truth_acres": only("km2_truth")})
+
+
+def chamfer_summary(pairs: DataFrame, distance: Column, max_pairs: int = 20_000) -> DataFrame:
+    """Mean and 95th percentile of ``distance`` over at most ``max_pairs`` of ``pairs(ours, truth, ...)``.
+
+    The sample is the first by a hash of the ids: the same for every run.
+    """
+    some = pairs.orderBy(F.xxhash64("ours", "truth"), "ours", "truth").limit(max_pairs).select(distance.alias("_d"))
+    return some.agg(F.count("_d").alias("n"), F.avg("_d").alias("mean_m"), F.percentile("_d", F.lit(0.95)).alias("p95_m"))

@@ -108,3 +108,11 @@ def write_states(df: DataFrame, path: str, state: str = "STATEFIPS", drop: tuple
 
 def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").json(path)
+
+
+def for_map(df: DataFrame, drop: tuple[str, ...] = ("effective_count", "area_sqm", "oid", "tile")) -> DataFrame:
+    """Valid geometries in degrees without the inner columns, as map archives take them."""
+    from acreline.functions import geometry as g
+
+    good = df.where("geometry is not null").where(g.wkb_valid("geometry"))
+    return good.drop(*drop).withColumn("geometry", g.wkb_lon_lat("geometry"))

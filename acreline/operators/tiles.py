@@ -39,3 +39,13 @@ def shard(tiles: DataFrame, n_shards: int, index: int | None = None) -> DataFram
 def pending(tiles: DataFrame, done: DataFrame) -> DataFrame:
     """Tiles without a finished row in ``done(tile)``: what a resumed run still has to do."""
     return tiles.join(done.select("tile").distinct(), "tile", "left_anti")
+
+
+def tile_of_point(tiles: DataFrame, x: float, y: float, left: float, top: float, pixel: float) -> str:
+    """The tile that holds a point (left and lower sides belong to it); none is an error."""
+    x0, y1 = F.lit(left) + F.col("col_off") * pixel, F.lit(top) - F.col("row_off") * pixel
+    held = tiles.where((x0 <= x) & (F.lit(x) < x0 + F.col("width") * pixel) & (y1 - F.col("height") * pixel <= y) & (F.lit(y) < y1))
+    found = held.select("tile").first()
+    if found is None:
+        raise ValueError(f"no tile holds ({x}, {y})")
+    return found["tile"]
