@@ -61,6 +61,26 @@ def parser() -> argparse.ArgumentParser:
     p = add("raster-urls", "where yearly rasters are", "base")
     p.add_argument("years")
     p.add_argument("--resolution", type=int, default=30)
+    p = add("fetch-rasters", "download yearly rasters", "base", "target")
+    p.add_argument("years")
+    p.add_argument("--resolution", type=int, default=30)
+    p.add_argument("--overwrite", action="store_true")
+    p.add_argument("--workers", type=int, default=8)
+    p = add("lines", "road and rail shapefiles, downloaded or given, to lines", "source", "target")
+    p.add_argument("--areas", help="comma list; source is then a URL with {area}")
+    p.add_argument("--rails", help="glob of rail shapefiles")
+    p.add_argument("--folder", help="where downloads go")
+    p.add_argument("--workers", type=int, default=8)
+    p = add("figure", "PNG of two coverages in a window", "ours", "truth", "target")
+    p.add_argument("--window", required=True, help="xmin,ymin,xmax,ymax")
+    p.add_argument("--size", type=int, default=512)
+    for name, about in (("map-tiles", "vector tiles in one archive"), ("map-features", "one FlatGeobuf file")):
+        p = add(name, about, "source", "target")
+        p.add_argument("--zooms", default="4,12")
+        p.add_argument("--attributes", default="", help="comma list; all for none")
+    p = add("bench-eliminate", "time elimination on growing windows", "source")
+    p.add_argument("--sizes", default="1000,2500,5000")
+    p.add_argument("--repeats", type=int, default=5)
     add("index", "Hilbert-sorted copy with boxes", "source", "target")
     p = add("parity", "coverage of ours and truth", "ours", "truth")
     p.add_argument("--whole", action="store_true")
@@ -104,7 +124,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("acreline").getOrCreate()
     started = time.time()
     from acreline.functions import geometry as g
-    from acreline.operators import evaluate, sinks, tiles
+    from acreline.operators import evaluate, sinks, tiles, vector
     from acreline.plans import pipeline
     from acreline.sources import tables
 
@@ -132,10 +152,49 @@ def main(argv: list[str] | None = None) -> None:
         tables.roads(spark.read.parquet(a.segments), tuple(a.classes.split(",")), window).write.mode("overwrite").parquet(a.target)
     elif a.command == "raster-urls":
         out = spark.createDataFrame([(tables.raster_url(a.base, int(y), a.resolution),) for y in a.years.split(",")], "url string")
-    elif a.command == "index":
-        from acreline.operators.vector import with_bounds
+    elif a.command == "fetch-rasters":
+        from acreline.sources.fetch import fetch_rasters
+
+        got = fetch_rasters(spark, a.base, tuple(int(y) for y in a.years.split(",")), a.target, a.resolution, a.overwrite, a.workers)
+        out = spark.createDataFrame([(y,) for y in got], "year int")
+    elif a.command == "lines":
+        from acreline.sources.fetch import fetch_lines
+        from acreline.sources.shapefile import ShapefileSource
+
+        spark.dataSource.register(ShapefileSource)
+        source = ",".join(fetch_lines(spark, a.source, a.areas.split(","), a.folder or f"{a.target}-archives", a.workers)) if a.areas else a.source
+        load = lambda path: spark.read.format("shapes").option("path", path).load()
+        lines = tables.coded_lines(load(source), rails=load(a.rails) if a.rails else None)
+        projected = lines.where("geometry is not null").withColumn("geometry", g.wkb_albers("geometry"))
+        vector.with_bounds(projected.select("geometry", "kind")).write.mode("overwrite").option("compression", "zstd").parquet(a.target)
+    elif a.command == "figure":
+        from acreline.operators.figure import render_comparison
+
+        ours, truth = (vector.with_bounds(spark.read.parquet(p).select("geometry")) for p in (a.ours, a.truth))
+        print(json.dumps(render_comparison(ours, truth, tuple(float(x) for x in a.window.split(",")), a.target, a.size)))
+    elif a.command in ("map-tiles", "map-features"):
+        from acreline.operators import mapfiles
+
+        shapes = sinks.for_map(spark.read.parquet(a.source))
+        names = [c for c in a.attributes.split(",") if c] or [c for c in shapes.columns if c != "geometry"]
+        if a.command == "map-features":
+            n = mapfiles.write_flatgeobuf(shapes.select(*names, "geometry"), a.target)
+        else:
+            low, high = map(int, a.zooms.split(","))
+            n = mapfiles.write_archive(mapfiles.tiles(shapes, names, (low, high)), a.target, names, (low, high))
+        print(json.dumps({"written": n}))
+    elif a.command == "bench-eliminate":
+        from acreline.plans import elimination
 
-        sinks.write_indexed(with_bounds(spark.read.parquet(a.source)), a.target)
+        rows = spark.read.parquet(a.source)
+        made = []
+        for record in elimination.runs(rows, len(rows.first()["cdl"]), tuple(int(x) for x in a.sizes.split(",")), a.repeats):
+            print(json.dumps(record), flush=True)
+            made.append(record)
+        for record in elimination.summary(spark, made):
+            print(json.dumps(record))
+    elif a.command == "index":
+        sinks.write_indexed(vector.with_bounds(spark.read.parquet(a.source)), a.target)
     elif a.command in ("parity", "match", "instances"):
         ours, truth = sides(spark, a.ours, a.truth)
         cell = 5000.0

@@ -312,3 +312,33 @@ def lon_lat(points: np.ndarray, rounds: int = 6) -> np.ndarray:
 def wkb_lon_lat(g: pa.Array) -> pa.Array:
     """Polygons in degrees."""
     return pa.array([None if w is None else encode([[lon_lat(r) for r in p] for p in decode(w)[1]]) for w in g.to_pylist()], pa.binary())
+
+
+def project(points: np.ndarray) -> np.ndarray:
+    """Degrees to Albers metres; the inverse of ``lon_lat``."""
+    from acreline.functions import geo
+
+    n, c, rho0 = geo.albers_constants()
+    s = np.sin(np.radians(points[:, 1]))
+    q = (1 - geo._E2) * (s / (1 - geo._E2 * s * s) - np.log((1 - geo._E * s) / (1 + geo._E * s)) / (2 * geo._E))
+    rho, theta = geo.A * np.sqrt(c - n * q) / n, n * np.radians(points[:, 0] - geo.LON0)
+    return np.stack([rho * np.sin(theta), rho0 - rho * np.cos(theta)], axis=1)
+
+
+def encode_lines(parts: list[np.ndarray]) -> bytes:
+    """A line, or a multiline of several."""
+    if len(parts) == 1:
+        return encode_line(parts[0])
+    return struct.pack("<BII", 1, 5, len(parts)) + b"".join(map(encode_line, parts))
+
+
+@F.arrow_udf(T.BinaryType())
+def wkb_albers(g: pa.Array) -> pa.Array:
+    """Lines or polygons in degrees, in Albers metres."""
+
+    def one(wkb: bytes) -> bytes:
+        kind, parts = decode(wkb)
+        moved = [[project(r) for r in p] for p in parts]
+        return encode_lines([r for p in moved for r in p]) if kind == 2 else encode(moved)
+
+    return pa.array([None if w is None else one(w) for w in g.to_pylist()], pa.binary())

@@ -90,9 +90,7 @@ def geometry_of(content: bytes) -> bytes | None:
     parts = [points[a:b] for a, b in zip(starts, starts[1:], strict=False)]
     if kind == 5:
         return g.encode(_polygons(parts))
-    if len(parts) == 1:
-        return g.encode_line(parts[0])
-    return struct.pack("<BII", 1, 5, len(parts)) + b"".join(map(g.encode_line, parts))
+    return g.encode_lines(parts)
 
 
 def records(path: str) -> Iterator[tuple[dict[str, str | None], bytes | None]]:
