@@ -27,6 +27,10 @@ N_SHARDS = 40
 #: A splitter may be off its target by this part of a shard, to keep equal texts together.
 TOLERANCE = 0.01
 OVERHEAD = 16
+#: Rows of a shard that are numbered in one task, whatever the number of rows or of equal texts.
+ROWS_PER_PART = 50_000
+#: Bytes that one task writes of a shard.
+TASK_BYTES = 256 << 20
 
 _BITS = 12
 _WIDTH = 1 << _BITS
@@ -113,35 +117,39 @@ def _signed(x: int) -> int:
     return x - (1 << 63)
 
 
-def assign(docs: DataFrame, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``doc_id, size, text_crc32, shard, slot`` of every document."""
-    keys = stored(keyed(docs), "keys")
+def _shard(found: list[list[int]]) -> Column:
+    """How many splitters are at or below a row's key."""
     high = F.col("_h").bitwiseXOR(F.lit(-(1 << 63)))
     low = F.col("_i").bitwiseXOR(F.lit(-(1 << 63)))
     shard = F.lit(0)
-    for digits in splitters(keys, n_shards, tolerance):
+    for digits in found:
         if (at := _halves(digits)) is not None:
             a, b = (F.lit(_signed(x)) for x in at)
             shard = shard + ((high > a) | (high == a) & (low >= b)).cast("int")
-    dealt = keys.withColumns({"shard": shard, "_a": F.shiftrightunsigned("_h", 52), "_b": F.shiftrightunsigned("_i", 58)})
-    # slots: rows are numbered in cells of a shard, and the cells' sizes are summed
-    cells = dealt.groupBy("shard", "_a", "_b").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("shard").orderBy("_a", "_b").rowsBetween(Window.unboundedPreceding, -1))
-    cells = cells.select("shard", "_a", "_b", F.coalesce(before, F.lit(0)).alias("_base"))
-    number = F.row_number().over(Window.partitionBy("shard", "_a", "_b").orderBy("_h", "_i", "doc_id")) - 1
-    return dealt.withColumn("_number", number).join(cells, ["shard", "_a", "_b"]).select("doc_id", "size", "text_crc32", "shard", (F.col("_number") + F.col("_base")).cast("long").alias("slot"))
+    return shard
+
+
+def assign(docs: DataFrame, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """``doc_id, size, text_crc32, shard, slot`` of every document."""
+    keys = stored(keyed(docs), "keys")
+    shard = _shard(splitters(keys, n_shards, tolerance))
+    # slots: rows are numbered in parts of a shard, and the parts' sizes are summed
+    parts = keys.count() // ROWS_PER_PART + 1
+    dealt = keys.withColumns({"shard": shard, "_part": F.pmod(F.xxhash64("_h", "_i"), F.lit(parts))})
+    sizes = dealt.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("shard", "_part", F.coalesce(before, F.lit(0)).alias("_base"))
+    number = F.row_number().over(Window.partitionBy("shard", "_part").orderBy("_h", "_i", "doc_id")) - 1
+    return dealt.withColumn("_number", number).join(sizes, ["shard", "_part"]).select("doc_id", "size", "text_crc32", "shard", (F.col("_number") + F.col("_base")).cast("long").alias("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE, max_rows_per_file: int = 1_000_000) -> None:
-    """Writes the documents, one folder ``shard=k`` each, after one exchange by shard and salt."""
-    keys = keyed(docs)
-    high = F.col("_h").bitwiseXOR(F.lit(-(1 << 63)))
-    low = F.col("_i").bitwiseXOR(F.lit(-(1 << 63)))
-    shard = F.lit(0)
-    for digits in splitters(stored(keys, "keys"), n_shards, tolerance):
-        if (at := _halves(digits)) is not None:
-            a, b = (F.lit(_signed(x)) for x in at)
-            shard = shard + ((high > a) | (high == a) & (low >= b)).cast("int")
+    """Writes the documents, one folder ``shard=k`` each, after one exchange by shard and part."""
+    keys = stored(keyed(docs), "keys")
+    shard = _shard(splitters(keys, n_shards, tolerance))
+    total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    tasks = total // n_shards // TASK_BYTES + 1  # of each shard
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     full = docs.withColumns({"_h": F.xxhash64(text), "_i": F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7))}).withColumn("shard", shard)
-    full.repartition("shard", F.shiftrightunsigned("_i", 60)).drop("_h", "_i").write.option("maxRecordsPerFile", max_rows_per_file).partitionBy("shard").parquet(path)
+    dealt = full.repartition(n_shards * tasks, "shard", F.pmod(F.xxhash64("_h", "_i"), F.lit(tasks)))
+    dealt.drop("_h", "_i").write.option("maxRecordsPerFile", max_rows_per_file).partitionBy("shard").parquet(path)
