@@ -35,7 +35,7 @@ SPAN, GRAM = 10, 5
 #: UTF-8 bytes of benchmark text that one pass broadcasts (fingerprints take up to about five times that).
 CHUNK_BYTES = 16 << 20
 
-FOUND = "doc_id long, n_words long, runs array<struct<first:long,last:long>>, spans array<struct<start:long,end:long>>, items array<string>"
+FOUND = "doc_id long, text_hash long, n_words long, runs array<struct<first:long,last:long>>, spans array<struct<start:long,end:long>>, items array<string>"
 
 
 def _gather(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
@@ -152,12 +152,12 @@ class BenchmarkIndex:
 
 def _find(docs: DataFrame, index: BenchmarkIndex) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    kind = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("runs", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
+    kind = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("runs", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            for at, rows, data, offsets in textkit.text_slices(batch.column(1)):
+            for at, rows, data, offsets in textkit.text_slices(batch.column(2)):
                 w = textkit.words(data, offsets, second=True)
                 hit, pairs = index.match(w)
                 counts = w.counts()
@@ -175,11 +175,12 @@ def _find(docs: DataFrame, index: BenchmarkIndex) -> DataFrame:
                     for r, i in pairs.tolist():
                         items[r].add(index.items[i])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, rows), pa.array(counts, pa.int64()), pa.array(runs, kind.field(2).type), pa.array(spans, kind.field(3).type), pa.array([sorted(x) for x in items], kind.field(4).type)],
+                    [*(batch.column(i).slice(at, rows) for i in (0, 1)), pa.array(counts, pa.int64()), pa.array(runs, kind.field(3).type), pa.array(spans, kind.field(4).type), pa.array([sorted(x) for x in items], kind.field(5).type)],
                     schema=kind,
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(find, FOUND)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(find, FOUND)
 
 
 def _chunks(benchmark: DataFrame, chunk_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
@@ -217,7 +218,7 @@ def _merged(docs: DataFrame, passes: list[DataFrame]) -> DataFrame:
     """The passes met by document; a row is known by its id and a hash of its text."""
     keyed = None
     for one in passes:
-        own = one.where(F.size("items") > 0).groupBy("doc_id", "n_words", "runs", "spans", "items").agg(F.lit(1).alias("_one")).drop("_one")
+        own = one.where(F.size("items") > 0).groupBy("doc_id", "text_hash", "runs", "spans", "items").agg(F.lit(1).alias("_one")).drop("_one")
         keyed = own if keyed is None else keyed.unionByName(own)
     fold = F.aggregate(
         "runs",
@@ -225,11 +226,11 @@ def _merged(docs: DataFrame, passes: list[DataFrame]) -> DataFrame:
         lambda acc, r: F.struct(F.greatest(acc["top"], r["last"]).alias("top"), (acc["n"] + F.greatest(F.lit(0).cast("long"), r["last"] - F.greatest(acc["top"] + 1, r["first"]) + 1)).alias("n")),
     )["n"]
     flat = lambda c: F.flatten(F.collect_list(c))
-    found = keyed.groupBy("doc_id", "n_words").agg(F.array_sort(flat("runs")).alias("runs"), F.array_sort(F.array_distinct(flat("spans"))).alias("spans"), F.array_sort(F.array_distinct(flat("items"))).alias("items"))
-    found = found.select(F.col("doc_id").alias("_d"), F.col("n_words").alias("_n"), fold.alias("n_hit"), "spans", "items")
-    every = passes[0].select("doc_id", "n_words")
+    found = keyed.groupBy("doc_id", "text_hash").agg(F.array_sort(flat("runs")).alias("runs"), F.array_sort(F.array_distinct(flat("spans"))).alias("spans"), F.array_sort(F.array_distinct(flat("items"))).alias("items"))
+    found = found.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), fold.alias("n_hit"), "spans", "items")
+    every = passes[0].select("doc_id", "text_hash", "n_words")
     none = "array<struct<start:long,end:long>>"
-    return every.join(found, every["doc_id"].eqNullSafe(found["_d"]) & (every["n_words"] == found["_n"]), "left").select(
+    return every.join(found, every["doc_id"].eqNullSafe(found["_d"]) & (every["text_hash"] == found["_t"]), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("spans", F.array().cast(none)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
 

@@ -54,6 +54,7 @@ def test_equals_brute_force(spark):
 
 def test_several_passes_give_the_same(spark):
     docs, items = make(7)
+    docs += [(200, "q " * 12), (200, "z " * 12), (200, "q " * 12), (None, "z " * 14)]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     assert rows(find_contamination(d, b, chunk_bytes=40)) == brute(docs, items)
