@@ -251,3 +251,19 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chunk_bytes: int =
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs
+
+
+#: find_contamination in SQL, window by window; its columns are those of the registered query.
+ORACLE = f"""
+with d as (select row_number() over () as rid, doc_id, {textkit.words_sql("text")} as w from documents),
+b as (select coalesce(item_id::varchar, 'null') as item, {textkit.words_sql("text")} as w from benchmark),
+bw as (select distinct item, least({SPAN}, len(w)) as n, array_to_string(w[i : i + least({SPAN}, len(w)) - 1], ' ') as g
+       from b, unnest(range(1, len(w) - least({SPAN}, len(w)) + 2)) t(i) where len(w) > 0),
+dw as (select rid, i, n, array_to_string(w[i : i + n - 1], ' ') as g from d, (select distinct n from bw) s, unnest(range(1, len(w) - n + 2)) t(i)),
+m as (select rid, i, n, item from dw join bw using (n, g)),
+h as (select rid, count(distinct k) as hits from (select rid, unnest(range(i, i + n)) as k from m) group by rid),
+s as (select rid, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from m group by rid)
+select doc_id, len(w) as n_words, coalesce(hits, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, hits is not null as contaminated
+from d left join h using (rid) left join s using (rid)
+"""

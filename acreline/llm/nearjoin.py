@@ -247,3 +247,18 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
     kept = docs.join(first, "doc_id", "left_semi").withColumn("_again", again).where("_again = 1").drop("_again")
     return kept.select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+#: jaccard_join in SQL: shared shingles of all pairs that share any, and their closure; for ids that are not repeated.
+ORACLE = f"""
+with recursive w as (select doc_id, {textkit.words_sql("text")} as w from documents),
+s as (select distinct doc_id, array_to_string(w[i : i + least({SHINGLE}, len(w)) - 1], ' ') as g
+      from w, unnest(range(1, len(w) - least({SHINGLE}, len(w)) + 2)) t(i) where len(w) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as met from s a join s b using (g) where a.doc_id <> b.doc_id group by 1, 2),
+l as (select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where 5 * met >= 4 * (p.n + q.n - met)),
+r as (select x, y from l union select r.x, l.y from r join l on r.y = l.x),
+f as (select x, min(y) as y from r group by x),
+k as (select x, count(*) as k from l group by x)
+select doc_id, least(doc_id, coalesce(y, doc_id)) as class_id, coalesce(k, 0) as n_links from w left join f on f.x = doc_id left join k on k.x = doc_id
+"""

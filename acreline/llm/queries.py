@@ -110,6 +110,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from acreline.llm import linededup, urlfilter
+    from acreline.llm import decontaminate, linededup, nearjoin, urlfilter
 
-    return {"op5_line_dedup": linededup.ORACLE, "op10_url_filters": urlfilter.oracle()}
+    return {"op3_ngram_jaccard_join": nearjoin.ORACLE, "op5_line_dedup": linededup.ORACLE, "op9_decontamination": decontaminate.ORACLE, "op10_url_filters": urlfilter.oracle()}

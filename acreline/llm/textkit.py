@@ -133,3 +133,8 @@ def shingle_sets(w: Words, k: int) -> list[np.ndarray]:
         keep[1:] = (g[1:] != g[:-1]) | (owner[1:] != owner[:-1])
         owner, g = owner[keep], g[keep]
     return np.split(g, np.searchsorted(owner, np.arange(1, w.rows)))
+
+
+def words_sql(text: str) -> str:
+    """DuckDB SQL of the list of a text's words."""
+    return f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
