@@ -138,6 +138,7 @@ def write_flatgeobuf(df: DataFrame, path: str, name: str = "fields") -> int:
 # --- vector tiles ---------------------------------------------------------
 
 EXTENT, BUFFER = 4096, 64
+MAX_LAT = 85.0511287798
 ZOOMS = (4, 12)
 #: Smallest box of a feature, in square units of a tile's extent.
 LEAST_UNITS = 16.0
@@ -147,7 +148,7 @@ MOST = 20_000
 
 def mercator(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Position in the square world map, 0 to 1 from the upper left."""
-    s = np.clip(lat, -85.0511287798, 85.0511287798)
+    s = np.clip(lat, -MAX_LAT, MAX_LAT)
     return (lon + 180) / 360, (1 - np.arcsinh(np.tan(np.radians(s))) / np.pi) / 2
 
 
@@ -248,24 +249,28 @@ def encode_tile(z: int, x: int, y: int, shapes: list[bytes], rows: list[dict], l
     return _field(3, body)
 
 
-def tiles(df: DataFrame, attributes: list[str], zooms: tuple[int, int] = ZOOMS, layer: str = "fields", most: int = MOST) -> DataFrame:
-    """``tile_id, z, x, y, data`` (gzipped) of all tiles that shapes in degrees touch.
+def in_tiles(df: DataFrame, zooms: tuple[int, int] = ZOOMS, most: int = MOST) -> DataFrame:
+    """``z, x, y`` beside the columns of shapes in degrees, a row for each tile that a shape's box touches.
 
     At each zoom a shape smaller than LEAST_UNITS is left out, and a tile
-    keeps its ``most`` largest: no task holds more than those.
+    keeps its ``most`` largest (``_k`` is their order).
     """
-    boxed = df.where("geometry is not null").select(*attributes, "geometry", g.wkb_bounds("geometry").alias("_b"))
-    world = lambda lat: (1 - F.asinh(F.tan(F.radians(F.greatest(F.least(lat, F.lit(85.0511287798)), F.lit(-85.0511287798))))) / math.pi) / 2
+    boxed = df.where("geometry is not null").withColumn("_b", g.wkb_bounds("geometry"))
+    world = lambda lat: (1 - F.asinh(F.tan(F.radians(F.greatest(F.least(lat, F.lit(MAX_LAT)), F.lit(-MAX_LAT))))) / math.pi) / 2
     boxed = boxed.withColumns({"_x0": (F.col("_b.xmin") + 180) / 360, "_x1": (F.col("_b.xmax") + 180) / 360, "_y0": world(F.col("_b.ymax")), "_y1": world(F.col("_b.ymin"))})
     boxed = boxed.withColumn("_size", (F.col("_x1") - F.col("_x0")) * (F.col("_y1") - F.col("_y0"))).withColumn("z", F.explode(F.sequence(F.lit(zooms[0]), F.lit(zooms[1]))))
     side = F.pow(F.lit(2.0), F.col("z"))
-    last = side - 1
     slack = BUFFER / EXTENT
-    cells = lambda lo, hi: F.sequence(*(F.least(F.greatest(F.floor(F.col(c) * side + d), F.lit(0)), last).cast("long") for c, d in ((lo, -slack), (hi, slack))))
+    cells = lambda lo, hi: F.sequence(*(F.least(F.greatest(F.floor(F.col(c) * side + d), F.lit(0)), side - 1).cast("long") for c, d in ((lo, -slack), (hi, slack))))
     seen = boxed.where(F.col("_size") * side * side * EXTENT * EXTENT >= LEAST_UNITS)
     seen = seen.withColumn("x", F.explode(cells("_x0", "_x1"))).withColumn("y", F.explode(cells("_y0", "_y1")))
     order = F.row_number().over(Window.partitionBy("z", "x", "y").orderBy(F.desc("_size"), F.xxhash64("geometry")))
-    seen = seen.withColumn("_k", order).where(F.col("_k") <= most).select("z", "x", "y", "_k", "geometry", *attributes)
+    return seen.withColumn("_k", order).where(F.col("_k") <= most).select("z", "x", "y", "_k", *df.columns)
+
+
+def tiles(df: DataFrame, attributes: list[str], zooms: tuple[int, int] = ZOOMS, layer: str = "fields", most: int = MOST) -> DataFrame:
+    """``tile_id, z, x, y, data`` (gzipped) of all tiles that shapes in degrees touch; no task holds more than ``most`` of them."""
+    seen = in_tiles(df.select(*attributes, "geometry"), zooms, most)
 
     def encode(table: pa.Table) -> pa.Table:
         table = table.sort_by("_k")
