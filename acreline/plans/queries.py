@@ -186,6 +186,13 @@ def upsample(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("pix", "r", "c", text("keys").alias("seq"))
 
 
+@query(o.sql(o.STACK, "select (r * 3 + x // 3) * 300 + c * 3 + x % 3 as pix, r * 3 + x // 3 as r, c * 3 + x % 3 as c, seq from px, range(9) t(x)"))
+def upsample_grid(spark: SparkSession, d: str) -> DataFrame:
+    """All rows of the grid; ``upsample`` compares the first 40 only."""
+    rows = combine.upsampled(px(spark, d), 3, pixels.WIDTH).withColumn("keys", codes.unpack(F.col("seq"), N))
+    return rows.select("pix", "r", "c", text("keys").alias("seq"))
+
+
 def one_year(spark: SparkSession, d: str) -> DataFrame:
     return pixels.demo_stack(spark, d).select("tile", "pix", "r", "c", F.col("cdl")[1].alias("v"))
 
