@@ -1,7 +1,7 @@
 """N-gram Jaccard join by MinHash banding.
 
 Documents with one set of 5-word shingles are a class of copies; everything
-below works on one representative per class, its smallest doc_id. MinHash
+below works on one numbered representative per class, its smallest doc_id. MinHash
 signatures are cut into bands; band and row counts come from the wanted recall
 at the threshold. Representatives are shuffled on band hashes. Those that meet
 in a band are verified on their full shingle sets.
@@ -15,8 +15,10 @@ connected into classes.
 
 Words are those of ``textkit``. A document of fewer than five words, but not
 none, is one shingle; one without words (or a null text) links to nothing and
-is its own class. Rows that share a ``doc_id`` are one document; a row with a
-null id gets a null class and no links. Other columns are ignored.
+is its own class. A document is known by its ``doc_id`` and a hash of its text:
+rows equal in both are one, rows that share an id only are compared like any
+others. A row with a null id gets a null class and no links. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -70,8 +72,12 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _text_hash() -> F.Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def signed_docs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_bytes, k1, k2, bands``: a 128-bit key of the shingle set and a hash per band.
+    """``doc_id, h, n_bytes, k1, k2, bands``: the text's hash, a 128-bit key of the shingle set and a hash per band.
 
     Documents without words have null keys.
     """
@@ -95,15 +101,16 @@ def signed_docs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, n),
+                        batch.column(2).slice(at, n),
                         pa.array(np.diff(offsets)),
                         pa.array(keys[:, 0].view(np.int64), mask=none),
                         pa.array(keys[:, 1].view(np.int64), mask=none),
                         pa.array(hashes, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_bytes", "k1", "k2", "bands"],
+                    ["doc_id", "h", "n_bytes", "k1", "k2", "bands"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null").mapInArrow(sign, "doc_id long, n_bytes long, k1 long, k2 long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _text_hash().alias("h")).where("doc_id is not null").mapInArrow(sign, "doc_id long, h long, n_bytes long, k1 long, k2 long, bands array<long>")
 
 
 class _Sets:
@@ -189,17 +196,13 @@ def _compare(table: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"rep": pa.array(np.concatenate(rep)), "to": pa.array(np.concatenate(to)), "links": pa.array(np.concatenate(links).astype(np.int64))})
 
 
-def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, class_id, n_links`` per row of docs.
-
-    ``n_links`` counts the other documents of similarity ``threshold`` or
-    more; ``class_id`` is the smallest doc_id that links lead to.
-    """
+def _classes(docs: DataFrame, threshold: float, recall: float, block_bytes: int) -> DataFrame:
+    """``doc_id, h, least, n_links`` per document; ``least(doc_id, h)`` is the smallest document of its class."""
     bands, rows = choose_bands(threshold, recall)
     signed = stored(signed_docs(docs, bands, rows), "signed")
-    one = signed.groupBy("doc_id").agg(F.min(F.struct("k1", "k2", "n_bytes", "bands")).alias("s")).select("doc_id", "s.*")
-    copies = one.where("k1 is not null").groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n_bytes", "bands")).alias("r"), F.count("*").alias("copies"))
-    reps = stored(copies.select("k1", "k2", "copies", F.col("r.doc_id").alias("rep"), "r.n_bytes", "r.bands"), "reps")
+    one = signed.groupBy("doc_id", "h").agg(F.min(F.struct("k1", "k2", "n_bytes", "bands")).alias("s")).select("doc_id", "h", "s.*")
+    copies = one.where("k1 is not null").groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "h", "n_bytes", "bands")).alias("r"), F.count("*").alias("copies"))
+    reps = stored(copies.select("k1", "k2", "copies", "r.*").withColumn("rep", F.monotonically_increasing_id()), "reps")
 
     # buckets of several representatives
     hashed = reps.select("rep", F.posexplode("bands").alias("band", "hash"))
@@ -226,26 +229,40 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     pairs = stored(pairs, "pairs")
     sides = pairs.select("block", F.struct("block", "other").alias("pair"), F.lit(0).alias("side")).union(pairs.where("block <> other").select("other", F.struct("block", "other"), F.lit(1)))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    chosen = blocks.join(reps.select("rep", "copies", "k1", "k2"), "rep")
-    # rows that share a representative's id hold its text, or a copy's
-    full = stored(texts.join(chosen, "rep").groupBy("rep", "block", "copies").agg(F.min("text").alias("text")), "texts")
+    texts = docs.select(F.col("doc_id").cast("long"), _text_hash().alias("h"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    chosen = blocks.join(reps.select("rep", "copies", "doc_id", "h"), "rep")
+    # rows that share a representative's id and hash hold its text
+    full = stored(texts.join(chosen, ["doc_id", "h"]).groupBy("rep", "block", "copies").agg(F.min("text").alias("text")), "texts")
     each = full.join(sides, "block").select("pair", "side", "rep", "copies", "text")
     found = stored(each.groupBy("pair").applyInArrow(lambda table: _compare(table, threshold), "rep long, to long, links long"), "found")
 
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    classes = connected_components(found.select(F.col("rep").alias("u"), F.col("to").alias("v")), small=0)
-    known = reps.join(linked, "rep", "left").join(classes.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select("k1", "k2", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    member = one.select("doc_id", "k1", "k2").join(known, ["k1", "k2"], "left").select(F.col("doc_id").alias("_d"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return docs.select(F.col("doc_id").cast("long")).join(member, F.col("doc_id") == F.col("_d"), "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    classes = connected_components(found.select(F.col("rep").alias("u"), F.col("to").alias("v")), small=0).withColumnRenamed("node", "rep")
+    own = F.struct("doc_id", "h")
+    least = classes.join(reps.select("rep", own.alias("own")), "rep").groupBy("component").agg(F.min("own").alias("least"))
+    known = reps.join(linked, "rep", "left").join(classes.join(least, "component").select("rep", "least"), "rep", "left")
+    known = known.select("k1", "k2", F.coalesce("least", own).alias("least"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return one.select("doc_id", "h", "k1", "k2").join(known, ["k1", "k2"], "left").select("doc_id", "h", F.coalesce("least", own).alias("least"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``doc_id, class_id, n_links`` per row of docs.
+
+    ``n_links`` counts the other documents of similarity ``threshold`` or
+    more; ``class_id`` is the smallest doc_id that links lead to. Where unlike
+    texts share that id, their classes share it too.
+    """
+    member = _classes(docs, threshold, recall, block_bytes).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("least.doc_id").alias("class_id"), "n_links")
+    rows = docs.select(F.col("doc_id").cast("long"), _text_hash().alias("h"))
+    return rows.join(member, (F.col("doc_id") == F.col("_d")) & (F.col("h") == F.col("_h")), "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, that with the smallest doc_id; rows without an id stay."""
-    first = jaccard_join(docs, threshold).where("doc_id = class_id").select("doc_id").distinct()
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_again", again).where("_again = 1").drop("_again")
+    member = _classes(docs, threshold, RECALL, BLOCK_BYTES)
+    first = member.where(F.col("least") == F.struct("doc_id", "h")).select("doc_id", F.col("h").alias("_h"))
+    again = F.row_number().over(Window.partitionBy("doc_id", "_h").orderBy("_h"))
+    kept = docs.withColumn("_h", _text_hash()).join(first, ["doc_id", "_h"], "left_semi").withColumn("_again", again).where("_again = 1").drop("_again")
     return kept.select(*docs.columns).union(docs.where("doc_id is null"))
 
 

@@ -1,6 +1,6 @@
 import random
 
-from acreline.llm.nearjoin import choose_bands, jaccard_join
+from acreline.llm.nearjoin import choose_bands, jaccard_join, keep_one
 from tests_support import WORD, LOW
 
 
@@ -61,3 +61,18 @@ def test_bands_reach_the_recall():
     for t in (0.5, 0.8, 0.9):
         b, r = choose_bands(t, 0.999)
         assert 1 - (1 - t**r) ** b >= 0.999 and b * r <= 160
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    a, b = "a b c d e f g h", "p q r s t u v w"
+    df = spark.createDataFrame([(1, None), (1, a), (1, b), (1, b), (2, a), (3, b), (4, "x")], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard_join(df).collect()))
+    assert got == [(1, 1, 0), (1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 4, 0)]
+    kept = sorted(((r["doc_id"], r["text"]) for r in keep_one(df).collect()), key=str)
+    assert kept == [(1, a), (1, b), (1, None), (4, "x")]
+    # the same beside near copies, which are compared by text
+    long = [f"w{i}" for i in range(60)]
+    near = [" ".join(long), " ".join([*long[:-1], "end"])]
+    df = spark.createDataFrame([(7, near[0]), (7, "0 1 2 3 4 5"), (8, near[1]), (9, near[0])], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard_join(df).collect()) == [(7, 7, 0), (7, 7, 2), (8, 7, 2), (9, 7, 2)]
+    assert sorted((r["doc_id"], r["text"]) for r in keep_one(df).collect()) == [(7, "0 1 2 3 4 5"), (7, near[0])]
