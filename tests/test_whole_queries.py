@@ -12,3 +12,12 @@ def test_upsample_covers_the_grid(spark):
     got = q.QUERIES["upsample_grid"](spark, D).collect()
     assert {(r["r"], r["c"]) for r in got} == {(3 * r + i, 3 * c + j) for r, c in rows for i in range(3) for j in range(3)}
     assert len(got) == 9 * len(rows) and all(x["seq"] == rows[x["r"] // 3, x["c"] // 3] and x["pix"] == x["r"] * 300 + x["c"] for x in got)
+
+
+def test_burn_lines_keeps_all_pixels(spark):
+    from acreline.plans import shape_queries  # noqa: F401  registers them
+
+    got = {(r["r"], r["c"]) for r in q.QUERIES["burn_lines"](spark, D).collect()}
+    ends = {(int((29 * k + 7) // 30), int((3000 - 20 * k) // 30)) for k in range(25)}
+    assert ends <= got and {(-1, 0), (23, 84)} <= got
+    assert (min(r for r, _ in got), max(r for r, _ in got), max(c for _, c in got)) == (-1, 23, 100)
