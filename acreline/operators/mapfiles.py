@@ -143,7 +143,7 @@ ZOOMS = (4, 12)
 #: Smallest box of a feature, in square units of a tile's extent.
 LEAST_UNITS = 16.0
 #: Features of one tile; where more meet, the largest stay, as overviews have to leave something out.
-MOST = 20_000
+MOST = 1_000_000
 
 
 def mercator(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

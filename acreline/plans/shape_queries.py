@@ -105,6 +105,24 @@ def map_tile_assignment(spark: SparkSession, d: str) -> DataFrame:
     return in_tiles(boxes.select("geometry"), (4, 8), 1_000_000).groupBy("z", "x", "y").agg(F.count("*").alias("n"))
 
 
+@query(
+    """with b as (select -125 + (o_orderkey * 37 % 5800) / 100.0::double x0, 24 + (o_custkey * 17 % 2500) / 100.0::double y0, (o_orderkey % 10 + 1) / 100.0::double s from orders),
+m as (select (x0 + 180) / 360 x0, (x0 + s + 180) / 360 x1, (1 - asinh(tan(radians(y0 + s))) / pi()) / 2 y0, (1 - asinh(tan(radians(y0))) / pi()) / 2 y1 from b),
+p as (select m.*, z, power(2.0::double, z) n from m, range(4, 13) t(z)),
+q as (select * from p where (x1 - x0) * (y1 - y0) * n * n * 4096 * 4096 >= 16)
+select z::int z, x, y, least(count(*), 1000000) n from q, unnest(range(floor(x0 * n - 1 / 64.0::double)::bigint, floor(x1 * n + 1 / 64.0::double)::bigint + 1)) a(x),
+ unnest(range(floor(y0 * n - 1 / 64.0::double)::bigint, floor(y1 * n + 1 / 64.0::double)::bigint + 1)) c(y) group by all"""
+)
+def map_tile_assignment_all(spark: SparkSession, d: str) -> DataFrame:
+    """The same at the default zooms and the default number of shapes of a tile."""
+    from acreline.operators.mapfiles import in_tiles
+
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    corner = o.select((-125 + (F.col("o_orderkey") * 37 % 5800) / 100.0).alias("xmin"), (24 + (F.col("o_custkey") * 17 % 2500) / 100.0).alias("ymin"), ((F.col("o_orderkey") % 10 + 1) / 100.0).alias("s"))
+    boxes = _box_wkb(corner.withColumns({"xmax": F.col("xmin") + F.col("s"), "ymax": F.col("ymin") + F.col("s")}))
+    return in_tiles(boxes.select("geometry")).groupBy("z", "x", "y").agg(F.count("*").alias("n"))
+
+
 @query()
 def map_tiles(spark: SparkSession, d: str) -> DataFrame:
     """Encoded tiles of the outlines, and how large they are."""

@@ -21,3 +21,12 @@ def test_burn_lines_keeps_all_pixels(spark):
     ends = {(int((29 * k + 7) // 30), int((3000 - 20 * k) // 30)) for k in range(25)}
     assert ends <= got and {(-1, 0), (23, 84)} <= got
     assert (min(r for r, _ in got), max(r for r, _ in got), max(c for _, c in got)) == (-1, 23, 100)
+
+
+def test_a_dense_tile_keeps_all_shapes(spark):
+    from acreline.operators import mapfiles
+    from acreline.plans import shape_queries
+
+    corner = spark.range(20_500).select((F.col("id") / 2000 - 100).alias("xmin"), F.lit(40.0).alias("ymin"))
+    boxes = shape_queries._box_wkb(corner.withColumns({"xmax": F.col("xmin") + 0.1, "ymax": F.lit(40.1)})).select("geometry")
+    assert mapfiles.in_tiles(boxes, (4, 4)).agg(F.countDistinct("geometry")).first()[0] == 20_500
