@@ -228,6 +228,28 @@ def focal_smooth(spark: SparkSession, d: str) -> DataFrame:
     return denoise.focal_smooth(one_year(spark, d), 1, 4, iterations=1).select("pix", "v")
 
 
+def _focal_round(i: int) -> str:
+    """v{i + 1} from v{i}: radius 2, components of fewer than 5 pixels."""
+    return f""",
+nz{i} as (select * from v{i} where v <> 0)""" + o.components(f"nz{i}", "v", f"cc{i}") + f""",
+sm{i} as (select pix, r, c from (select *, count(*) over (partition by label) size from cc{i}) where size < 5),
+win{i} as (select a.pix, b.v, count(*) n from sm{i} a, edge, range(-2, 3) x(dr), range(-2, 3) z(dc), v{i} b
+  where b.pix = least(greatest(a.r + dr, 0), r1) * 100 + least(greatest(a.c + dc, 0), c1) and b.v <> 0 group by all),
+md{i} as (select pix, v as mode from (select *, row_number() over (partition by pix order by n desc, v) k from win{i}) where k = 1),
+v{i + 1} as (select a.pix, a.r, a.c, case when s.pix is null then a.v else coalesce(mode, 0) end v from v{i} a left join sm{i} s using (pix) left join md{i} using (pix))"""
+
+
+@query(
+    o.sql(
+        o.PIXELS + ", v0 as (select pix, r, c, cdl v from py where yr = 2019), edge as (select max(r) r1, max(c) c1 from v0)" + "".join(map(_focal_round, range(4))),
+        "select pix, v from v4",
+    )
+)
+def focal_smooth_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """The reference's defaults; ``focal_smooth`` compares a single round."""
+    return denoise.focal_smooth(one_year(spark, d), 2, 5, iterations=4).select("pix", "v")
+
+
 @query(o.sql(o.LABELS, """select label, (4 * count(*) - 2 * sum(x))::double * 30 perimeter from (select a.label, a.pix,
   (select count(*) from lab b where b.label = a.label and ((b.pix = a.pix + 1 and b.r = a.r) or b.pix = a.pix + 100)) x from lab a) group by label"""))
 def region_perimeter(spark: SparkSession, d: str) -> DataFrame:

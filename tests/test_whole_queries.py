@@ -1,5 +1,7 @@
 """Registered queries cover all of their input."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from acreline.plans import queries as q
@@ -30,3 +32,36 @@ def test_a_dense_tile_keeps_all_shapes(spark):
     corner = spark.range(20_500).select((F.col("id") / 2000 - 100).alias("xmin"), F.lit(40.0).alias("ymin"))
     boxes = shape_queries._box_wkb(corner.withColumns({"xmax": F.col("xmin") + 0.1, "ymax": F.lit(40.1)})).select("geometry")
     assert mapfiles.in_tiles(boxes, (4, 4)).agg(F.countDistinct("geometry")).first()[0] == 20_500
+
+
+def brute_focal(a, rounds):
+    n = len(a)
+    for _ in range(rounds):
+        seen, small = {}, []
+        for at in [(r, c) for r in range(n) for c in range(n) if a[r][c]]:
+            if at not in seen:
+                todo, part = [at], {at}
+                while todo:
+                    r, c = todo.pop()
+                    for y, x in ((r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)):
+                        if 0 <= y < n and 0 <= x < n and (y, x) not in part and a[y][x] == a[r][c]:
+                            part.add((y, x))
+                            todo.append((y, x))
+                seen |= dict.fromkeys(part)
+                small += part if len(part) < 5 else ()
+        new = [list(row) for row in a]
+        for r, c in small:
+            near = [a[min(max(r + i, 0), n - 1)][min(max(c + j, 0), n - 1)] for i in range(-2, 3) for j in range(-2, 3)]
+            new[r][c] = min((-near.count(v), v) for v in set(near) if v)[1]
+        a = new
+    return a
+
+
+def test_focal_smooth_runs_the_rounds_of_the_reference(spark, monkeypatch):
+    rng = random.Random(0)
+    a = [[rng.randrange(5) for _ in range(14)] for _ in range(14)]
+    px = spark.createDataFrame([("A0", r * 14 + c, r, c, a[r][c]) for r in range(14) for c in range(14)], "tile string, pix long, r long, c long, v int")
+    monkeypatch.setattr(q, "one_year", lambda spark, d: px)
+    got = {r["pix"]: r["v"] for r in q.QUERIES["focal_smooth_rounds"](spark, D).collect()}
+    want = [{r * 14 + c: m[r][c] for r in range(14) for c in range(14)} for m in (brute_focal(a, n) for n in (1, 3, 4))]
+    assert got == want[2] and want[2] not in want[:2]
