@@ -46,9 +46,15 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """One row of FEATURES statistics per text."""
     rows = len(offsets) - 1
     size = np.diff(offsets)
-    row = np.repeat(np.arange(rows, dtype=np.int32), size)
-    kind = _CLASS[data]
-    counts = np.bincount(row * KINDS + kind, minlength=rows * KINDS).reshape(rows, KINDS).astype(np.float64)
+    counts, same = np.zeros((rows, KINDS)), np.zeros(rows)
+    for a in range(0, len(data), textkit.SLICE_BYTES):  # one step but for a long text
+        part = data[a : a + textkit.SLICE_BYTES]
+        row = np.searchsorted(offsets, np.arange(a, a + len(part)), "right") - 1 if rows > 1 else np.zeros(len(part), dtype=np.int64)
+        counts += np.bincount(row * KINDS + _CLASS[part], minlength=rows * KINDS).reshape(rows, KINDS)
+        pair = (part[1:] == part[:-1]) & (row[1:] == row[:-1])
+        same += np.bincount(row[1:][pair], minlength=rows)
+        if a and data[a] == data[a - 1] and np.searchsorted(offsets, a, "right") == np.searchsorted(offsets, a - 1, "right"):
+            same[row[0]] += 1
     some = np.maximum(size, 1)[:, None]
     w = textkit.words(data, offsets)
     n = w.counts()
@@ -72,9 +78,6 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     again = np.zeros(rows)
     if len(g):
         again = np.bincount(owner[1:][(g[1:] == g[:-1]) & (owner[1:] == owner[:-1])], minlength=rows)
-    same = np.zeros(rows)
-    if len(data) > 1:
-        same = np.bincount(row[1:][(data[1:] == data[:-1]) & (row[1:] == row[:-1])], minlength=rows)
     mean = sums(length) / per
     more = [
         np.log1p(size), np.log1p(n), mean, np.sqrt(np.maximum(sums(length**2) / per - mean**2, 0)), distinct / per, most / per, again / per, same / some[:, 0],

@@ -2,18 +2,21 @@
 
 A word is a run of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z became a-z:
 in UTF-8, digits, ASCII letters and every byte from 0x80. All work is done on
-byte arrays in slices of a few MB, so memory does not follow the batch.
+byte arrays in slices of a bounded size, so memory does not follow the batch;
+a single long text is hashed in blocks of that size.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+#: Bytes of text that are worked on at once; a longer text is hashed in blocks of this size.
+SLICE_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -22,6 +25,7 @@ _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 _PRIMES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _INVERSES = tuple(np.uint64(pow(int(p), -1, 1 << 64)) for p in _PRIMES)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_LIBC = ctypes.CDLL(None)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,19 +36,59 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def _power(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    if seed not in _powers or len(_powers[seed][0]) < n:
-        size = max(n, 1 << 16)
+def _power(seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a seed's prime and of its inverse, up to SLICE_BYTES."""
+    if seed not in _powers:
         made = []
         for base in (_PRIMES[seed], _INVERSES[seed]):
-            steps = np.full(size, base, dtype=np.uint64)
+            steps = np.full(SLICE_BYTES + 1, base, dtype=np.uint64)
             steps[0] = 1
             with np.errstate(over="ignore"):
                 made.append(np.cumprod(steps, dtype=np.uint64))
         _powers[seed] = (made[0], made[1])
-        if size > 4 * SLICE_BYTES:  # a very long text: don't keep its tables
-            return _powers.pop(seed)
-    return _powers[seed][0][:n], _powers[seed][1][:n]
+    return _powers[seed]
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each range of ``data``; ranges are in order and do not overlap.
+
+    Bytes are summed up in blocks; a range that runs over a block's end is put
+    together from its parts.
+    """
+    up, down = _power(seed)
+    value = np.zeros(len(start), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for a in range(0, len(data), SLICE_BYTES):
+            b = min(a + SLICE_BYTES, len(data))
+            total = np.zeros(b - a + 1, dtype=np.uint64)
+            np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=total[1:])
+            lo, hi = int(np.searchsorted(end, a, "right")), int(np.searchsorted(start, b, "left"))
+            if lo >= hi:
+                continue
+            s, e = np.maximum(start[lo:hi], a) - a, np.minimum(end[lo:hi], b) - a
+            part = (total[e] - total[s]) * down[s]
+            if start[lo] < a:  # the range before this block goes on
+                part[0] *= np.uint64(pow(int(_PRIMES[seed]), a - int(start[lo]), 1 << 64))
+            value[lo:hi] += part
+        return mix(value + (end - start).astype(np.uint64))
+
+
+def runs_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true in ``inside``; a run ends with its row."""
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edge = offsets[:-1][offsets[:-1] < offsets[1:]]
+    first[edge] = inside[edge]
+    last[edge[1:] - 1] = inside[edge[1:] - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def release() -> None:
+    """Gives memory that a batch needed back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -61,6 +105,7 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
         yield at, to - at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    release()
 
 
 @dataclass
@@ -80,24 +125,10 @@ class Words:
 
 def words(data: np.ndarray, offsets: np.ndarray, second: bool = False) -> Words:
     rows = len(offsets) - 1
-    isw = _WORD[data]
-    first, last = isw.copy(), isw.copy()
-    first[1:] &= ~isw[:-1]
-    last[:-1] &= ~isw[1:]
-    edge = offsets[:-1][offsets[:-1] < offsets[1:]]  # a word never runs on into the next text
-    first[edge] = isw[edge]
-    last[edge[1:] - 1] = isw[edge[1:] - 1]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    start, end = runs_of(_WORD[data], offsets)
     row = np.searchsorted(offsets, start, "right") - 1
-    low = _LOWER[data].astype(np.uint64)
-    made = []
-    with np.errstate(over="ignore"):
-        for seed in range(1 + second):
-            up, down = _power(seed, len(data) + 1)
-            total = np.empty(len(data) + 1, dtype=np.uint64)
-            total[0] = 0
-            np.cumsum(low * up[:-1], out=total[1:])
-            made.append(mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)))
+    low = _LOWER[data]
+    made = [range_hashes(low, start, end, seed) for seed in range(1 + second)]
     return Words(rows, row, start, end, made[0], made[1] if second else None)
 
 

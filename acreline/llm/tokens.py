@@ -23,6 +23,9 @@ import pyarrow as pa
 
 from acreline.llm import textkit
 
+#: Bytes of an entry of the table of pieces beside its ids.
+ENTRY_BYTES = 25
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _TAIL = np.zeros(256, dtype=bool)
@@ -36,9 +39,9 @@ def default_path() -> str:
 
 
 class WordTokens:
-    """``limit`` bounds the table of pieces; those unused for longest go first."""
+    """``limit`` bounds the bytes of the table of pieces; those unused for longest go first."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 32 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -82,7 +85,7 @@ class WordTokens:
     def _add(self, key: np.ndarray, pieces: list[str]) -> None:
         ids = self._ids(pieces)
         n = np.array([len(x) for x in ids], dtype=np.int32)
-        if len(self.key) + len(key) > self.limit:
+        if ENTRY_BYTES * (len(self.key) + len(key)) + 4 * (self.size + int(n.sum())) > self.limit:
             self._forget()
         more = int(n.sum())
         if self.size + more > len(self.flat):
@@ -101,6 +104,8 @@ class WordTokens:
         self.used = np.insert(self.used, where, self.clock)
 
     def _forget(self) -> None:
+        if not len(self.key):
+            return
         keep = (self.used > np.median(self.used)) | (self.used == self.clock)
         n, at = self.n[keep], self.at[keep]
         take = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -113,13 +118,7 @@ class WordTokens:
         self.clock += 1
         rows = len(offsets) - 1
         inner = ~_SPACE[data]
-        first, last = inner.copy(), inner.copy()
-        first[1:] &= ~inner[:-1]
-        last[:-1] &= ~inner[1:]
-        edge = offsets[:-1][offsets[:-1] < offsets[1:]]
-        first[edge] = inner[edge]
-        last[edge[1:] - 1] = inner[edge[1:] - 1]
-        c0, c1 = np.flatnonzero(first), np.flatnonzero(last) + 1
+        c0, c1 = textkit.runs_of(inner, offsets)
         if not len(c0):
             return np.empty(0, dtype=np.uint32), np.zeros(rows + 1, dtype=np.int64)
         core = np.maximum.accumulate(np.where(inner & ~_TAIL[data], np.arange(len(data)), -1))[c1 - 1] + 1
@@ -136,11 +135,7 @@ class WordTokens:
         tail = np.tile([False, True], len(c0))[real]
         start, end, row = start[real], end[real], row[real]
         low = textkit._LOWER[data]
-        up, down = textkit._power(0, len(data) + 1)
-        total = np.zeros(len(data) + 1, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-            h = textkit.mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+        h = textkit.range_hashes(low, start, end)
         text = lambda i, of=low: of[start[i] : end[i]].tobytes().decode("utf-8", "replace")
         if raw.any():
             for i in np.flatnonzero(raw[chunk]):
@@ -173,10 +168,28 @@ class WordTokens:
         np.cumsum(np.bincount(row, weights=n, minlength=rows).astype(np.int64), out=bounds[1:])
         return ids, bounds
 
+    def _long(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A long text in parts that end at white space, where the pre-tokenizer never joins text."""
+        made, at = [], 0
+        while at < len(data):
+            to = min(at + textkit.SLICE_BYTES, len(data))
+            if to < len(data):
+                back = np.flatnonzero(_SPACE[data[at:to]])
+                if len(back):
+                    to = at + int(back[-1]) + 1
+                else:  # a chunk longer than a part goes whole
+                    while to < len(data) and not _SPACE[data[to]]:
+                        ahead = np.flatnonzero(_SPACE[data[to : to + textkit.SLICE_BYTES]])
+                        to = to + int(ahead[0]) if len(ahead) else min(to + textkit.SLICE_BYTES, len(data))
+            made.append(self._slice(data[at:to], np.array([0, to - at]))[0])
+            at = to
+        ids = np.concatenate(made)
+        return ids, np.array([0, len(ids)])
+
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, bounds) of slices of a column; null is empty."""
-        for at, _, data, offsets in textkit.text_slices(texts):
-            yield at, *self._slice(data, offsets)
+        for at, rows, data, offsets in textkit.text_slices(texts):
+            yield at, *(self._long(data) if rows == 1 and len(data) > textkit.SLICE_BYTES else self._slice(data, offsets))
 
 
 _made: dict[str, WordTokens] = {}
