@@ -43,11 +43,30 @@ def test_line_dedup_is_brute_force(spark, keep_first):
                 seen |= {key(x)} & often
                 kept.append(x)
             want[d] = ((t or "").count("\n") + 1, (t or "").count("\n") + 1 - len(kept), "\n".join(kept))
-        df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"start": F.lit(1), "drop_": F.lit("x")})
+        df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("start", "drop", "_d", "_t", "_x", "_lines", "_runs", "_kept", "row", "_may")})
         got = {r["doc_id"]: (r["_n_lines"], r["_n_dropped"], r["_kept"]) for r in linededup.dedup_lines(df, 10, keep_first).collect()}
         assert got == want
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    rows = [(i, "a") for i in range(8)] + [(8, "a"), (8, "a\nb")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["_n_dropped"] for r in linededup.dedup_lines(df).collect()} == {0}
+    more = spark.createDataFrame([*rows, (None, "a\nc")], "doc_id long, text string")
+    assert sorted(r["_n_dropped"] for r in linededup.dedup_lines(more).collect()) == [1] * 11
+    other = spark.createDataFrame([(None, f"a\n{i}") for i in range(10)], "doc_id long, text string")
+    assert {r["_kept"] for r in linededup.dedup_lines(other).collect()} == {str(i) for i in range(10)}
+
+
+def test_kept_first_lines_leave_columns_as_they_were(spark):
+    rows = [(i, "shared\nown " + str(i), 3, "r") for i in range(12)] + [(20, "shared", 6, "r"), (None, None, None, None), (21, "", 0, None), (22, "shared\n" * 200_000 + "end", 5, "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, drop string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in linededup.keep_first_lines(df).collect()}
+    assert linededup.keep_first_lines(df).schema == df.schema
+    want = {0: ("shared\nown 0", 3, "r"), **{i: (f"own {i}", len(f"own {i}"), "r") for i in range(1, 12)}, None: (None, None, None), 21: ("", 0, None), 22: ("end", 3, "r")}
+    assert got == want
+
+
 def test_repeated_rows_are_one_document(spark):
     df = spark.createDataFrame([(1, "a\nb")] * 12 + [(2, "a")], "doc_id long, text string")
     assert {(r["doc_id"], r["_n_dropped"]) for r in linededup.dedup_lines(df).collect()} == {(1, 0), (2, 0)}
@@ -104,10 +123,11 @@ def conversations(seed):
     return rows + [(None, 0, "assistant", "x"), (90, None, "user", "u"), (90, 1, "assistant", "y"), (90, 1, "assistant", "y"), (91, 0, "system", "s")]
 
 
-def test_chat_reads_back(spark):
+@pytest.mark.parametrize(("budget", "history", "hot"), [(120, 40, 10**6), (700, 200, 30), (90, 20, 0)])
+def test_chat_reads_back(spark, budget, history, hot):
     rows = conversations(4)
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit("clash"))
-    made = chat.windows(df, budget=120, history=40)
+    made = chat.windows(df, budget=budget, history=history, hot_rows=hot)
     got = {r["conv_id"]: r for r in chat.digest(made).collect()}
     conv = defaultdict(list)
     for c, turn, role, text in rows:
@@ -128,15 +148,74 @@ def test_chat_reads_back(spark):
         assert r["formatted_chars"] == chars[c]
 
 
+def brute_windows(turns, budget, history):
+    """Windows by a plain walk over (turn, role, text) in order: lists of (again, role, text)."""
+    esc = lambda t: t.replace("\\", "\\\\").replace("<|", "<\\|")
+    size = lambda t: len(esc(t[1]).encode()) + len(esc(t[2]).encode()) + 24
+    lead, total = 0, 0
+    while lead < len(turns) and turns[lead][1] == "system" and total + size(turns[lead]) <= (budget - history) // 2:
+        total += size(turns[lead])
+        lead += 1
+    room, span, at, made = max(1, budget - history - total), chat.CELL * budget, 0, []
+    place = []
+    for i, t in enumerate(turns[lead:], lead):
+        if not made or at // span != cell or fill + size(t) > room:
+            made.append([])
+            place.append((at, i))
+            cell, fill = at // span, 0
+        made[-1].append((False, *t[1:]))
+        fill += size(t)
+        at += size(t)
+    out = []
+    for (begin, i), own in zip(place, made, strict=True):
+        back, used = [], 0
+        for t in reversed(turns[lead:i]):
+            used += size(t)
+            if used > history:
+                break
+            back.insert(0, (True, *t[1:]))
+        out.append([(bool(out), *t[1:]) for t in turns[:lead]] + back + own)
+    return out or [[(False, *t[1:]) for t in turns]]
+
+
+@pytest.mark.parametrize("hot", [10**6, 20])
+def test_chat_windows_are_brute_force(spark, hot):
+    rng = random.Random(9)
+    rows = [(c, i, "system" if i < c % 3 else rng.choice(["user", "assistant"]), "w" * rng.choice([0, 5, 30, 200])) for c in range(8) for i in range(rng.choice([1, 3, 60, 200]))]
+    rows += [(50, i, "system", "s" * 30) for i in range(40)] + [(51, 0, "user", "x" * 9000), (51, 1, "assistant", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.windows(df, budget=300, history=100, hot_rows=hot).select("conv_id", "window", chat.read_turns(F.col("formatted")).alias("t"))
+    got = defaultdict(list)
+    for r in made.orderBy("conv_id", "window").collect():
+        got[r["conv_id"]].append([(t["again"], t["role"], t["text"]) for t in r["t"]])
+    conv = defaultdict(list)
+    for c, turn, role, text in rows:
+        conv[c].append((turn, role, text))
+    assert dict(got) == {c: brute_windows(sorted(t), 300, 100) for c, t in conv.items()}
+
+
+def test_chat_takes_counts_of_a_tokenizer(spark):
+    df = spark.createDataFrame([(1, i, "user", "word " * 50, 10) for i in range(20)], "conv_id long, turn long, role string, text string, n long")
+    assert chat.windows(df, budget=50, history=0, tokens=F.col("n")).count() == 4
+
+
+def test_long_conversations_and_turns(spark):
+    rows = spark.range(20_000).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "repeat('t', 400) as text")
+    rows = rows.union(spark.range(1).selectExpr("2L", "id", "'assistant'", "repeat('long <| ', 1000000)"))
+    got = {r["conv_id"]: r for r in chat.digest(chat.windows(rows)).collect()}
+    assert (got[1]["n_turns"], got[1]["loss_chars"]) == (20_000, 4_000_000)
+    assert (got[2]["n_turns"], got[2]["loss_chars"]) == (1, 8_000_000)
+
+
 def test_chat_windows_keep_to_the_budget(spark):
     rows = [(1, 0, "system", "be brief")] + [(1, i, "user" if i % 2 else "assistant", "w" * 40) for i in range(1, 60)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    made = chat.windows(df, budget=100, history=35).select("window", chat.read_turns(F.col("formatted")).alias("t")).orderBy("window").collect()
+    made = chat.windows(df, budget=400, history=150).select("window", chat.read_turns(F.col("formatted")).alias("t")).orderBy("window").collect()
     assert len(made) > 3
     own = []
     for w in made:
         assert w["t"][0]["role"] == "system" and w["t"][0]["again"] == (w["window"] > 0)
-        assert sum(4 + -(-len((t["text"] + t["role"]).encode()) // 4) for t in w["t"]) <= 100
+        assert sum(24 + len((t["text"] + t["role"]).encode()) for t in w["t"]) <= 400
         assert w["window"] == 0 or any(t["again"] and t["role"] != "system" for t in w["t"])
         own += [t["text"] for t in w["t"] if not t["again"]]
     assert len(own) == 60
