@@ -1,23 +1,27 @@
 """Benchmark decontamination by winnowing.
 
-The words of a text give 5-gram hashes; in every window of 6 consecutive ones
-(10 words) the smallest is kept, the rightmost of equals (Schleimer, Wilkerson
-and Aiken, "Winnowing", 2003). Two texts that share 10 consecutive words keep
-the same fingerprint there, so comparing kept fingerprints misses no shared
-span of 10 words. A hit is then extended: the up to six 10-word windows around
-it are compared with the benchmark's by two independent 64-bit hashes, and the
-words of each equal window are marked; overlapping windows give longer spans.
-
-An item of fewer than 10 words, but not none, is one window of all its words.
-Such windows are looked up directly, as one fingerprint each.
-
-The benchmark is read in chunks of a bounded size. Each chunk's fingerprints
-are broadcast and met with all documents in one pass; a larger benchmark takes
-more passes, whose spans are merged.
+The words of a text give 5-gram hashes; the smallest in every window of 6
+consecutive ones (10 words) is that window's fingerprint (Schleimer, Wilkerson
+and Aiken, "Winnowing", 2003). Two texts that share 10 consecutive words have
+the same fingerprint there, so no shared span of 10 words is missed. Training
+and benchmark fingerprints are joined; a pair is a hit if two independent
+64-bit hashes of the whole windows agree too. Hits of a document are extended:
+windows that overlap or adjoin become one span.
+
+An item of fewer than 10 words, but not none, is one window of all its words,
+with its hash for a fingerprint.
+
+Neither texts nor fingerprints pass the driver. A bitmap of the benchmark's
+fingerprints, of a fixed size, tells most of a document's fingerprints from
+it where they are made; what is left is joined, by broadcast if the
+benchmark's windows were counted to be few, else on salted keys. The verdict
+goes back by id and hash of text, and a second bitmap leaves clean texts where
+they are.
 
 Nulls: a null text has no words; a document or item without words matches
 nothing. Null item ids count as the id ``null``. Repeated document rows get a
-row each. Other columns are ignored. Empty tables give no hits or no rows.
+row each. Other columns are ignored, or left as they were. Empty tables give
+no hits or no rows. A long text is worked on in blocks of words.
 """
 
 from __future__ import annotations
@@ -26,16 +30,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreline.llm import textkit
+from acreline.llm.bitmap import BITS, bitmap, marked
+from acreline.runtime import stored
 
 SPAN, GRAM = 10, 5
-#: UTF-8 bytes of benchmark text that one pass broadcasts (fingerprints take up to about five times that).
-CHUNK_BYTES = 16 << 20
+#: Benchmark windows (some 60 bytes each) up to which they are broadcast; more are joined on salted keys.
+BROADCAST_WINDOWS = 200_000
+SALT = 16
+#: Words that are worked on at once.
+BLOCK_WORDS = 1 << 18
 
-FOUND = "doc_id long, text_hash long, n_words long, runs array<struct<first:long,last:long>>, spans array<struct<start:long,end:long>>, items array<string>"
+_KEY = ("n", "fp", "h", "h2")
+_PRINT = np.dtype([("row", "i8"), ("start", "i8"), ("n", "i4"), ("fp", "u8"), ("h", "u8"), ("h2", "u8")])
 
 
 def _gather(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
@@ -48,209 +58,138 @@ def _gather(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
 
 
 def winnow(h: np.ndarray, row: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the kept fingerprints of texts laid end to end."""
-    n, w = len(h) - span + 1, span - gram + 1
+    """Positions of the windows inside one text, of texts laid end to end, and their fingerprints."""
+    n = len(h) - span + 1
     if n <= 0:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
     g = _gather(h, np.arange(len(h) - gram + 1), gram)
     least = g[:n].copy()
-    at = np.zeros(n, dtype=np.int8)
-    for j in range(1, w):
-        lower = g[j : j + n] <= least
-        np.copyto(least, g[j : j + n], where=lower)
-        at[lower] = j
-    inside = row[:n] == row[span - 1 : span - 1 + n]
-    kept = np.zeros(len(g), dtype=bool)
-    kept[(np.arange(n) + at)[inside]] = True
-    kept = np.flatnonzero(kept)
-    return kept, g[kept]
-
-
-class _Table:
-    """Sorted 64-bit keys with a bitmap of their top bits before the binary search."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys = np.unique(keys)
-        self.seen = np.zeros(1 << 16, dtype=bool)
-        self.seen[(self.keys >> np.uint64(48)).astype(np.int64)] = True
-
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in h that have a key, and the keys' indexes."""
-        at = np.flatnonzero(self.seen[(h >> np.uint64(48)).astype(np.int64)])
-        if not len(self.keys):
-            return at[:0], at[:0]
-        p = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
-        same = self.keys[p] == h[at]
-        return at[same], p[same]
-
-
-class BenchmarkIndex:
-    """Windows and fingerprints of some items; plain arrays, ready to be broadcast."""
-
-    def __init__(self, items: list[tuple[str, str | None]], span: int = SPAN, gram: int = GRAM):
-        self.span, self.gram = span, gram
-        prints, windows = [], {}
-        for a in range(0, len(items), 4096):
-            part = items[a : a + 4096]
-            for at, _, data, offsets in textkit.text_slices(pa.array([x[1] for x in part], pa.string())):
-                w = textkit.words(data, offsets, second=True)
-                prints.append(winnow(w.h, w.row, span, gram)[1])
-                counts = w.counts()
-                first = np.cumsum(counts) - counts
-                for n in sorted({*counts[(counts > 0) & (counts < span)].tolist(), span}):
-                    pos, g = textkit.grams(w.h, w.row, n)
-                    if n < span:
-                        own = counts[w.row[pos]] == n
-                        pos, g = pos[own & (pos == first[w.row[pos]])], g[own & (pos == first[w.row[pos]])]
-                    windows.setdefault(n, []).append((g, _gather(w.h2, pos, n), w.row[pos] + at + a))
-        self.prints = _Table(np.concatenate(prints) if prints else np.empty(0, dtype=np.uint64))
-        self.windows = {}
-        for n, parts in windows.items():
-            g, g2, item = (np.concatenate(x) for x in zip(*parts, strict=True))
-            if len(g):
-                key = np.stack([g, g2])
-                order = np.lexsort((item, g2, g))
-                self.windows[n] = (_Table(g), *(x[order] for x in (*key, item)))
-        self.items = [x[0] for x in items]
-
-    def _equal(self, n: int, h: np.ndarray, h2: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position, entry) of the runs of n words at ``at`` that equal a window."""
-        if n not in self.windows or not len(at):
-            return at[:0], at[:0]
-        table, g, g2, _ = self.windows[n]
-        own, own2 = _gather(h, at, n), _gather(h2, at, n)
-        found, _ = table.find(own)
-        lo, hi = np.searchsorted(g, own[found], "left"), np.searchsorted(g, own[found], "right")
-        # entries of one key hold one second hash, but for a collision, and then several items
-        many = hi - lo
-        pos = np.repeat(found, many)
-        entry = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        same = g2[entry] == own2[pos]
-        return at[pos[same]], entry[same]
-
-    def match(self, w: textkit.Words) -> tuple[np.ndarray, np.ndarray]:
-        """Which words are hit, and the distinct (row, item number) pairs."""
-        hit = np.zeros(len(w.h) + 1, dtype=np.int64)
-        pairs = []
-        for n in self.windows:
-            if n == self.span:
-                kept, g = winnow(w.h, w.row, self.span, self.gram)
-                met = kept[self.prints.find(g)[0]]
-                around = np.unique((met[:, None] - np.arange(self.span - self.gram + 1)).ravel())
-                around = around[(around >= 0) & (around + n <= len(w.h))]
-                around = around[w.row[around] == w.row[around + n - 1]] if len(around) else around
-            else:
-                around = textkit.grams(w.h, w.row, n)[0]
-            at, entry = self._equal(n, w.h, w.h2, around)
-            spots = np.unique(at)
-            hit[spots] += 1
-            hit[spots + n] -= 1
-            pairs.append(np.stack([w.row[at], self.windows[n][3][entry]], axis=1))
-        both = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), dtype=np.int64)
-        return np.cumsum(hit[:-1]) > 0, both
-
-
-def _find(docs: DataFrame, index: BenchmarkIndex) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    kind = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("runs", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+    for j in range(1, span - gram + 1):
+        np.minimum(least, g[j : j + n], out=least)
+    at = np.flatnonzero(row[:n] == row[span - 1 : span - 1 + n])
+    return at, least[at]
+
+
+def prints(w: textkit.Words, lengths: list[int], whole: bool, bits: np.ndarray | None = None) -> np.ndarray:
+    """Windows of ``lengths`` words (with ``whole``, shorter ones only where they are all of a text) as _PRINT records.
+
+    ``bits`` is a bitmap of the fingerprints that matter.
+    """
+    counts = w.counts()
+    made = []
+    for a in range(0, len(w.h), BLOCK_WORDS):
+        for n in lengths:
+            part = slice(a, a + BLOCK_WORDS + n - 1)
+            h, h2, row = w.h[part], w.h2[part], w.row[part]
+            at, fp = winnow(h, row, n, GRAM) if n == SPAN else textkit.grams(h, row, n)
+            use = np.ones(len(at), dtype=bool)
+            if whole and n < SPAN:
+                use = counts[row[at]] == n
+            if bits is not None:
+                low = fp & np.uint64(BITS - 1)
+                use &= bits[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1) != 0
+            at, fp = at[use], fp[use]
+            one = np.empty(len(at), dtype=_PRINT)
+            one["row"], one["start"], one["n"], one["fp"], one["h"], one["h2"] = row[at], at + a, n, fp, _gather(h, at, n), _gather(h2, at, n)
+            made.append(one)
+    return np.concatenate(made) if made else np.empty(0, dtype=_PRINT)
+
+
+def _longs(x: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(x).view(np.int64))
+
+
+def benchmark_windows(benchmark: DataFrame) -> DataFrame:
+    """``n, fp, h, h2, item``: every window of every item once."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, rows, data, offsets in textkit.text_slices(batch.column(1)):
+                one = prints(textkit.words(data, offsets, second=True), [*range(1, SPAN), SPAN], whole=True)
+                items = batch.column(0).slice(at, rows).take(pa.array(one["row"]))
+                yield pa.RecordBatch.from_arrays([pa.array(one["n"]), *(_longs(one[c]) for c in ("fp", "h", "h2")), items], [*_KEY, "item"])
+
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
+    return benchmark.select(item.alias("item"), F.col("text").cast("string")).mapInArrow(make, "n int, fp long, h long, h2 long, item string").distinct()
+
+
+def document_windows(docs: DataFrame, lengths: list[int], bits: np.ndarray) -> DataFrame:
+    """``doc_id, text_hash, n_words, found``: per row of docs its windows whose fingerprint is in the bitmap.
+
+    ``found`` has first words, numbers of words, byte ranges and hashes.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    fields = [("start", pa.int64()), ("n", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("fp", pa.int64()), ("h", pa.int64()), ("h2", pa.int64())]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, rows, data, offsets in textkit.text_slices(batch.column(2)):
                 w = textkit.words(data, offsets, second=True)
-                hit, pairs = index.match(w)
+                one = prints(w, lengths, whole=False, bits=shared.value)
+                one = one[np.argsort(one["row"], kind="stable")]
                 counts = w.counts()
                 first = np.cumsum(counts) - counts
-                runs, spans, items = [[] for _ in range(rows)], [[] for _ in range(rows)], [set() for _ in range(rows)]
-                if hit.any():
-                    begin = hit.copy()
-                    begin[1:] &= ~hit[:-1] | (w.row[1:] != w.row[:-1])
-                    end = hit.copy()
-                    end[:-1] &= ~hit[1:] | (w.row[1:] != w.row[:-1])
-                    for a, b in zip(np.flatnonzero(begin), np.flatnonzero(end), strict=True):
-                        r = w.row[a]
-                        runs[r].append({"first": a - first[r], "last": b - first[r]})
-                        spans[r].append({"start": w.start[a] - offsets[r], "end": w.end[b] - offsets[r]})
-                    for r, i in pairs.tolist():
-                        items[r].add(index.items[i])
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(at, rows) for i in (0, 1)), pa.array(counts, pa.int64()), pa.array(runs, kind.field(3).type), pa.array(spans, kind.field(4).type), pa.array([sorted(x) for x in items], kind.field(5).type)],
-                    schema=kind,
-                )
+                row, start = one["row"], one["start"]
+                columns = [start - first[row], one["n"].astype(np.int32), w.start[start] - offsets[row], w.end[start + one["n"] - 1] - offsets[row]]
+                found = pa.StructArray.from_arrays([*map(pa.array, columns), *(_longs(one[c]) for c in ("fp", "h", "h2"))], fields=[pa.field(*f) for f in fields])
+                bounds = pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, rows) for i in (0, 1)), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(bounds, found)], ["doc_id", "text_hash", "n_words", "found"])
 
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(find, FOUND)
-
-
-def _chunks(benchmark: DataFrame, chunk_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
-    part, size = [], 0
-    for r in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), F.col("text").cast("string").alias("t")).toLocalIterator():
-        part.append((r["i"], r["t"]))
-        size += len(r["t"].encode()) if r["t"] else 0
-        if size >= chunk_bytes:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
-def find_contamination(docs: DataFrame, benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    kind = "doc_id long, text_hash long, n_words long, found array<struct<start:long,n:int,a:long,b:long,fp:long,h:long,h2:long>>"
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(make, kind)
+
+
+def _met(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int) -> tuple[DataFrame, DataFrame]:
+    """The stored rows of docs with a number ``uid``, and ``uid, start, n, a, b, item`` of all hits."""
+    known = stored(benchmark_windows(benchmark), "benchmark")
+    lengths = sorted(r["n"] for r in known.select("n").distinct().collect())  # SPAN of them at most
+    words = bitmap(known, F.col("fp")).toArrow()  # BITS / 64 rows at most
+    bits = np.zeros(BITS // 64, dtype=np.uint64)
+    bits[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
+    rows = stored(document_windows(docs, lengths, bits).withColumn("uid", F.monotonically_increasing_id()), "windows")
+    asked = rows.select("uid", F.inline("found"))
+    if known.count() <= broadcast_windows:
+        return rows, asked.join(F.broadcast(known), list(_KEY)).select("uid", "start", "n", "a", "b", "item")
+    salted = known.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return rows, asked.withColumn("_s", F.pmod("uid", F.lit(SALT)).cast("int")).join(salted, [*_KEY, "_s"]).select("uid", "start", "n", "a", "b", "item")
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, spans, items``.
 
     ``spans`` are byte ranges of the UTF-8 text; ``items`` the sorted ids of
-    the items of which a window occurs. Adjoining spans of one pass are one.
+    the items of which a window occurs. Adjoining spans are one.
     """
-    passes = None
-    docs = docs.select("doc_id", "text")
-    for n, part in enumerate(_chunks(benchmark, chunk_bytes)):
-        one = _find(docs, BenchmarkIndex(part))
-        passes = [one] if n == 0 else [*passes, one]
-    if passes is None:
-        passes = [_find(docs, BenchmarkIndex([]))]
-    if len(passes) == 1:
-        n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda acc, r: acc + r["last"] - r["first"] + 1)
-        return passes[0].select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items")
-    return _merged(docs, passes)
-
-
-def _merged(docs: DataFrame, passes: list[DataFrame]) -> DataFrame:
-    """The passes met by document; a row is known by its id and a hash of its text."""
-    keyed = None
-    for one in passes:
-        own = one.where(F.size("items") > 0).groupBy("doc_id", "text_hash", "runs", "spans", "items").agg(F.lit(1).alias("_one")).drop("_one")
-        keyed = own if keyed is None else keyed.unionByName(own)
-    fold = F.aggregate(
-        "runs",
-        F.struct(F.lit(-1).cast("long").alias("top"), F.lit(0).cast("long").alias("n")),
-        lambda acc, r: F.struct(F.greatest(acc["top"], r["last"]).alias("top"), (acc["n"] + F.greatest(F.lit(0).cast("long"), r["last"] - F.greatest(acc["top"] + 1, r["first"]) + 1)).alias("n")),
-    )["n"]
-    flat = lambda c: F.flatten(F.collect_list(c))
-    found = keyed.groupBy("doc_id", "text_hash").agg(F.array_sort(flat("runs")).alias("runs"), F.array_sort(F.array_distinct(flat("spans"))).alias("spans"), F.array_sort(F.array_distinct(flat("items"))).alias("items"))
-    found = found.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), fold.alias("n_hit"), "spans", "items")
-    every = passes[0].select("doc_id", "text_hash", "n_words")
+    rows, hits = _met(docs, benchmark, broadcast_windows)
+    hits = stored(hits, "hits")
+    items = hits.select("uid", "item").distinct().groupBy("uid").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    spots = hits.select("uid", "start", "n", "a", "b").distinct()
+    order = Window.partitionBy("uid").orderBy("start", "n")
+    reach = F.max(F.col("start") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    spots = spots.withColumn("_new", (F.col("start") > F.coalesce(reach, F.lit(-1))).cast("int"))
+    spots = spots.withColumn("_k", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = spots.groupBy("uid", "_k").agg((F.max(F.col("start") + F.col("n")) - F.min("start")).alias("_n"), F.min("a").alias("start"), F.max("b").alias("end"))
+    found = runs.groupBy("uid").agg(F.sum("_n").alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")).join(items, "uid")
     none = "array<struct<start:long,end:long>>"
-    return every.join(found, every["doc_id"].eqNullSafe(found["_d"]) & (every["text_hash"] == found["_t"]), "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("spans", F.array().cast(none)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    return rows.select("uid", "doc_id", "n_words").join(found, "uid", "left").select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("spans", F.array().cast(none)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The documents in which no window of an item occurs, all columns as they were; no shuffle."""
-    column = docs.columns.index("text")
-    for part in _chunks(benchmark, chunk_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(BenchmarkIndex(part))
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """The documents in which no window of an item occurs, all columns as they were.
 
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            for batch in batches:
-                clean = np.ones(len(batch), dtype=bool)
-                for at, _, data, offsets in textkit.text_slices(batch.column(column)):
-                    w = textkit.words(data, offsets, second=True)
-                    clean[at + np.unique(w.row[shared.value.match(w)[0]])] = False
-                yield batch.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+    Rows equal in id and text share the verdict; null ids and texts are kept
+    like others; only texts that may be contaminated are exchanged.
+    """
+    rows, hits = _met(docs, benchmark, broadcast_windows)
+    bad = rows.join(hits.select("uid").distinct(), "uid", "left_semi").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
+    bad = stored(bad, "contaminated")
+    known = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_hash"))
+    known = marked(known, bitmap(bad, F.xxhash64("_d", "_t")), F.xxhash64("_id", "_hash"))
+    kept = known.where("_may").join(bad, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_t")), "left_anti")
+    return known.where("not _may").select("row.*").union(kept.select("row.*"))
 
 
 #: find_contamination in SQL, window by window; its columns are those of the registered query.

@@ -1,7 +1,7 @@
 import random
 import re
 
-from acreline.llm.decontaminate import find_contamination
+from acreline.llm.decontaminate import drop_contaminated, find_contamination
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -52,12 +52,38 @@ def test_equals_brute_force(spark):
         assert rows(find_contamination(d, b)) == brute(docs, items)
 
 
-def test_several_passes_give_the_same(spark):
+def test_a_large_benchmark_gives_the_same(spark):
     docs, items = make(7)
     docs += [(200, "q " * 12), (200, "z " * 12), (200, "q " * 12), (None, "z " * 14)]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    assert rows(find_contamination(d, b, chunk_bytes=40)) == brute(docs, items)
+    assert rows(find_contamination(d, b, broadcast_windows=0)) == brute(docs, items)
+
+
+def test_dropping_keeps_the_clean_rows_as_they_were(spark):
+    docs, items = make(5)
+    docs += [(300, None), (None, None), (None, ""), (301, "q " * 12), (301, "clean words")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "'x' as row", "1 as uid", "true as _may", "2 as n")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    clean = [(r[0], t) for r, (_, t) in zip([x for doc in docs for x in brute([doc], items)], docs, strict=True) if not r[2]]
+    for limit in (0, 10**6):
+        kept = drop_contaminated(d, b, limit)
+        assert kept.schema == d.schema
+        assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(clean, key=str)
+    assert drop_contaminated(d, b.where("false")).count() == len(docs)
+    assert drop_contaminated(d.where("false"), b).collect() == []
+
+
+def test_a_long_text_is_worked_on_in_blocks(spark, monkeypatch):
+    import pyarrow as pa
+    from acreline.llm import decontaminate, textkit
+
+    text = " ".join(f"w{i % 977}" for i in range(3000))
+    w = [textkit.words(data, offsets, True) for _, _, data, offsets in textkit.text_slices(pa.array([text, "a b"]))][0]
+    whole = decontaminate.prints(w, [2, 10], False)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 100)
+    assert sorted(decontaminate.prints(w, [2, 10], False).tolist()) == sorted(whole.tolist())
+    assert len(whole) == 2999 + 1 + 2991
 
 
 def test_spans_are_the_hit_text(spark):
