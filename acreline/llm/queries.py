@@ -20,12 +20,20 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from acreline.llm.tokencounts import Rollup, count_tokens
-    from acreline.runtime import new_path
+    """Totals of documents, maintained: all come in with no tokens, half of them (by a hash) are then revised to
+    their counts, the others deleted and brought in again; one batch is sent twice and all are folded into one."""
+    from acreline.llm.tokencounts import Rollup, changes, count_tokens
+    from acreline.runtime import new_path, stored
 
     rollup = Rollup(spark, new_path(spark, "rollup"))
-    counted = count_tokens(_read(spark, sf_dir, "documents"))
-    rollup.apply("documents", counted.withColumns({"kind": F.lit("insert"), "old_tokens": F.lit(None).cast("long")}))
+    counted = stored(count_tokens(_read(spark, sf_dir, "documents")), "counted")
+    half = F.xxhash64(F.coalesce("doc_id", F.lit(-1))) % 2 == 0
+    none = F.lit(0).cast("long")
+    rollup.apply("arrivals", changes(counted, "insert", new=none))
+    rollup.apply("second looks", changes(counted.where(half), "revise", new=F.col("tokens"), old=none).unionByName(changes(counted.where(~half), "delete", old=none)))
+    rollup.apply("arrivals", changes(counted, "insert", new=none))
+    rollup.compact()
+    rollup.apply("returns", changes(counted.where(~half), "insert", new=F.col("tokens")))
     return rollup.totals()
 
 
@@ -87,8 +95,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from acreline.llm.urlfilter import judge
 
-    # a label stands for the page of the same number
-    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    # a label stands for the page of the same number; without quality and toxic it says nothing
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0)
     outcomes = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
     return judge(_read(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
 
