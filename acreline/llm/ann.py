@@ -11,20 +11,27 @@ precision.
 The index is fitted on a bounded sample (SAMPLE vectors, by a hash of vec_id);
 every vector is indexed. The number of leaves to probe comes from the sample
 too: the fewest that hold PROBE_RECALL of the nearest neighbours of up to 500
-sampled vectors. Equal vectors are one class with its smallest ids; a leaf is
-split into salted blocks of bounded size, and its queries go to each block.
+sampled vectors. A query that finds fewer neighbours than there are probes
+all leaves. Equal vectors are one class with its smallest ids; a leaf's
+vectors and its queries are each split into salted blocks of bounded size, and
+all of the former meet all of the latter.
 Where a block holds more vectors that the codes cannot tell apart than are
 ranked again, such as a large group of near copies, all of it is ranked.
 
-Vectors that are null, empty, zero, hold null or non-finite numbers or differ
-in length from most take no part, nor do rows with a null vec_id. Repeated
-rows count once. Other columns are ignored.
+Vectors of different length have no cosine, so each length has neighbours of
+its own: an index for the most frequent length and for every other of more
+than BLOCK_ROWS vectors; fewer are compared exactly. Vectors that are null,
+empty, zero or hold null or non-finite numbers take no part, nor do rows with
+a null vec_id. Repeated rows count once; of rows that share a vec_id the
+smallest vector counts. Other columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +44,16 @@ from acreline.runtime import stored
 NEAREST = 5
 SAMPLE = 20_000
 PROBE_RECALL = 0.985
-LEAF_ROWS, BLOCK_ROWS, MOST_LEAVES = 2048, 4096, 1024
+LEAF_ROWS, BLOCK_ROWS, QUERY_ROWS = 2048, 4096, 4096
+#: Sampled vectors that a leaf is fitted on, at least; the bounded sample so bounds the leaves.
+LEAF_SAMPLE = 8
 #: Candidates of each block that are ranked exactly.
 RERANK = 192
 
 
+RESULT = "query_id long, rank int, vec_id long, score double"
+
+
 def valid_vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
     """``vec_id, vec array<double>`` of the vectors that take part, once per id."""
     vec = F.col(column).cast("array<double>")
@@ -60,7 +72,7 @@ def _unit(batch: pa.Array) -> np.ndarray:
 def _fit(classes: DataFrame, n: int, sample: int) -> tuple[annindex.Index, int]:
     rows = classes.select("rep", "vec").where(F.pmod(F.xxhash64("rep"), F.lit(n)) < 2 * sample).orderBy(F.xxhash64("rep"), "rep").limit(sample)
     x = _unit(rows.select("vec").toArrow().column(0).combine_chunks()).astype(np.float32)
-    leaves = max(1, min(MOST_LEAVES, math.ceil(n / LEAF_ROWS), len(x)))
+    leaves = max(1, min(math.ceil(n / LEAF_ROWS), len(x) // LEAF_SAMPLE))
     index = annindex.fit(x, leaves)
     asked = np.arange(min(500, len(x)))
     s = x[asked] @ x.T
@@ -112,20 +124,49 @@ def _search(table: pa.Table, index: annindex.Index, keep: int, rerank: int) -> p
 def nearest(rows: DataFrame, queries: DataFrame, k: int = NEAREST, sample: int = SAMPLE, rerank: int = RERANK, column: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest rows of each of ``queries(vec_id)`` but itself."""
     spark = rows.sparkSession
-    vectors = valid_vectors(rows, column)
-    sizes = Counter({r[0]: r[1] for r in vectors.groupBy(F.size("vec")).count().collect()})
-    schema = "query_id long, rank int, vec_id long, score double"
+    vectors = valid_vectors(rows, column).withColumn("dim", F.size("vec"))
+    sizes = Counter({r[0]: r[1] for r in vectors.groupBy("dim").count().collect()})
     if not sizes:
-        return spark.createDataFrame([], schema)
-    dim = max(sizes, key=lambda d: (sizes[d], d))
-    keyed = vectors.where(F.size("vec") == dim).withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(1), "vec")})
-    keyed = stored(keyed, "vectors")
+        return spark.createDataFrame([], RESULT)
+    keyed = stored(vectors.withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(1), "vec")}), "vectors")
+    wanted = queries.select(F.col("vec_id").cast("long")).distinct()
+    most = max(sizes, key=lambda d: (sizes[d], d))
+    indexed = [d for d in sorted(sizes) if d == most or sizes[d] > BLOCK_ROWS]
+    made = [_nearest(keyed.where(F.col("dim") == d).drop("dim"), wanted, sizes[d], k, sample, rerank) for d in indexed]
+    if len(indexed) < len(sizes):
+        made.append(_compared(keyed.where(~F.col("dim").isin(indexed)), wanted, k))
+    return reduce(DataFrame.union, made)
+
+
+def _compared(keyed: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """The same for lengths of at most BLOCK_ROWS vectors, each in one group."""
+
+    def rank(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("vec_id")
+        ids, x = table.column("vec_id").to_numpy(), _unit(table.column("vec").combine_chunks())
+        out = []
+        for i in np.flatnonzero(table.column("asked").to_numpy(zero_copy_only=False)):
+            score = x @ x[i]
+            score[i] = -np.inf
+            best = np.argsort(-score, kind="stable")[: min(k, len(ids) - 1)]
+            out.append((np.full(len(best), ids[i]), np.arange(1, len(best) + 1), ids[best], score[best]))
+        parts = [np.concatenate(v) for v in zip(*out, strict=True)] if out else [np.empty(0)] * 4
+        return pa.table([pa.array(v, t) for v, t in zip(parts, (pa.int64(), pa.int32(), pa.int64(), pa.float64()), strict=True)], ["query_id", "rank", "vec_id", "score"])
+
+    flagged = keyed.select("dim", "vec_id", "vec").join(wanted.withColumn("asked", F.lit(True)), "vec_id", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+    return flagged.groupBy("dim").applyInArrow(rank, RESULT)
+
+
+def _nearest(keyed: DataFrame, wanted: DataFrame, total: int, k: int, sample: int, rerank: int) -> DataFrame:
+    """The same for vectors of one length, by index."""
+    spark = keyed.sparkSession
     number = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("vec_id"))
     few = keyed.withColumn("_n", number).where(F.col("_n") <= k + 1)
     classes = few.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.min("vec").alias("vec"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
     classes = stored(classes, "classes")
     n = classes.count()
     index, probes = _fit(classes, n, sample)
+    leaves = len(index.centres)
     shared = spark.sparkContext.broadcast(index)
 
     def encode(batches):  # noqa: ANN001, ANN202
@@ -134,26 +175,44 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = NEAREST, sample: int =
                 leaf, packed = shared.value.encode(_unit(batch.column(1)).astype(np.float32))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaf, pa.int32()), pa.array([p.tobytes() for p in packed], pa.binary())], ["rep", "vec", "leaf", "codes"])
 
-    def probe(batches):  # noqa: ANN001, ANN202
-        for batch in batches:
-            if len(batch):
-                leaf = shared.value.probes(_unit(batch.column(1)).astype(np.float32), probes)
-                row = pa.array(np.repeat(np.arange(len(batch)), leaf.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(leaf.ravel(), pa.int32())], ["rep", "vec", "leaf"])
-
     coded = stored(classes.select("rep", "vec").mapInArrow(encode, "rep long, vec array<double>, leaf int, codes binary"), "codes")
-    blocks = coded.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"))  # MOST_LEAVES rows at most
-    asked = keyed.join(queries.select(F.col("vec_id").cast("long")).distinct(), "vec_id", "left_semi").select("vec_id", "h1", "h2")
+    asked = keyed.join(wanted, "vec_id", "left_semi").select("vec_id", "h1", "h2")
     who = asked.join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select(F.col("vec_id").alias("query_id"), F.col("rep").alias("query"))
     who = stored(who, "asked")
-    probed = classes.select("rep", "vec").join(who.select(F.col("query").alias("rep")).distinct(), "rep", "left_semi").mapInArrow(probe, "rep long, vec array<double>, leaf int")
-    cells = coded.join(F.broadcast(blocks), "leaf").select("leaf", F.pmod(F.xxhash64("rep"), "blocks").cast("int").alias("block"), "rep", "vec", "codes")
-    sent = probed.join(F.broadcast(blocks), "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "vec", F.lit(None).cast("binary").alias("codes"))
-    found = cells.union(sent).groupBy("leaf", "block").applyInArrow(lambda t: _search(t, shared.value, k + 1, rerank), "query long, rep long, score double")
-
-    better = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
-    best = found.withColumn("_n", F.row_number().over(better)).where(F.col("_n") <= k + 1).join(classes.select("rep", "ids"), "rep")
-    each = best.select("query", F.explode("ids").alias("vec_id"), (-F.col("score")).alias("far"))
-    listed = each.groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("best"))
-    others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
-    return who.join(listed, "query").select("query_id", F.posexplode(others).alias("_p", "b")).select("query_id", (F.col("_p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.far")).alias("score"))
+    parts = lambda df, size, name: df.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias(name))
+    sizes = parts(coded, BLOCK_ROWS, "blocks")  # a row per leaf
+
+    def search(who: DataFrame, probes: int) -> DataFrame:
+        """``query_id, best``: the nearest found, and the query itself."""
+
+        def probe(batches):  # noqa: ANN001, ANN202
+            for batch in batches:
+                if len(batch):
+                    leaf = shared.value.probes(_unit(batch.column(1)).astype(np.float32), probes)
+                    row = pa.array(np.repeat(np.arange(len(batch)), leaf.shape[1]))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(row), pa.array(leaf.ravel(), pa.int32())], ["rep", "leaf"])
+
+        reps = classes.select("rep", "vec").join(who.select(F.col("query").alias("rep")).distinct(), "rep", "left_semi")
+        reps = stored(reps, "queries")
+        probed = stored(reps.mapInArrow(probe, "rep long, leaf int"), "probed")
+        both = F.broadcast(sizes.join(parts(probed, QUERY_ROWS, "turns"), "leaf"))
+        every = lambda n, name: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(name)
+        dealt = lambda n, name: F.pmod(F.xxhash64("rep"), n).cast("int").alias(name)
+        cells = coded.join(both, "leaf").select("leaf", dealt("blocks", "block"), every("turns", "turn"), "rep", "vec", "codes")
+        sent = probed.join(both, "leaf").select("leaf", every("blocks", "block"), dealt("turns", "turn"), "rep").join(reps, "rep")
+        sent = sent.select("leaf", "block", "turn", "rep", "vec", F.lit(None).cast("binary").alias("codes"))
+        found = cells.union(sent).groupBy("leaf", "block", "turn").applyInArrow(lambda t: _search(t, shared.value, k + 1, rerank), "query long, rep long, score double")
+        better = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
+        best = found.withColumn("_n", F.row_number().over(better)).where(F.col("_n") <= k + 1).join(classes.select("rep", "ids"), "rep")
+        each = best.select("query", F.explode("ids").alias("vec_id"), (-F.col("score")).alias("far"))
+        listed = each.groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("best"))
+        others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
+        return stored(who.join(listed, "query", "left").select("query_id", "query", F.coalesce(others, F.array().cast("array<struct<far:double,vec_id:long>>")).alias("best")), "listed")
+
+    listed = search(who, probes)
+    if probes < leaves:
+        short = F.size("best") < min(k, total - 1)
+        again = stored(listed.where(short).select("query_id", "query"), "short")
+        if not again.isEmpty():
+            listed = listed.where(~short).union(search(again, leaves))
+    return listed.select("query_id", F.posexplode("best").alias("_p", "b")).select("query_id", (F.col("_p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.far")).alias("score"))

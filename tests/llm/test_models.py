@@ -42,6 +42,38 @@ def test_nearest_reaches_the_recall(spark):
         assert all(a[2] >= b[2] for a, b in zip(found, found[1:], strict=False))
 
 
+def test_lone_vectors_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(5, 24))
+    rows = [(i, [float(x) for x in centres[i % 5] + 0.01 * rng.normal(size=24)]) for i in range(9000)]
+    for i in range(12):  # far from all clusters and from each other
+        rows[50 * i] = (50 * i, [float(x) for x in 9 * rng.normal(size=24)])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 50 = 0")).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(got) == 180 and {len(v) for v in got.values()} == {5}
+    want = exact(rows, range(0, 9000, 50))
+    assert sum(len(set(got[q]) & {i for _, i in want[q]}) for q in want) >= 0.9 * 5 * len(want)
+
+
+def test_vectors_of_other_lengths_have_neighbours_of_their_own(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=8 if i % 3 else 5 if i % 9 else 2)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {}
+    for n in (2, 5, 8):
+        want |= exact([r for r in rows if len(r[1]) == n], [r[0] for r in rows if len(r[1]) == n and r[0] % 5 == 0])
+    for block in (4096, 50):
+        monkeypatch.setattr(ann, "BLOCK_ROWS", block)
+        monkeypatch.setattr(ann, "QUERY_ROWS", block)
+        got = {}
+        for r in ann.nearest(df, df.where("vec_id % 5 = 0")).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append(r["vec_id"])
+        hits = sum(len(set(got[q]) & {i for _, i in want[q]}) for q in want)
+        assert set(got) == set(want) and hits >= 0.9 * sum(map(len, want.values()))
+
+
 def test_nearest_with_odd_vectors_and_copies(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [1.0, 0.0]), (5, [1.0, 0.0]), (6, [1.0, 0.0]), (7, [1.0, 0.0]), (8, [0.5, 0.5])]
@@ -54,7 +86,7 @@ def test_nearest_with_odd_vectors_and_copies(spark):
     assert [v for _, v, _ in sorted(got[0])] == [1, 2, 3, 4, 5]
     assert [v for _, v, _ in sorted(got[7])] == [0, 1, 2, 3, 4]
     assert [v for _, v, _ in sorted(got[100])] == [8, 0, 1, 2, 3]
-    assert set(got) == {0, 7, 100}
+    assert set(got) == {0, 7, 100}  # 56 has no other vector of its length
     few = spark.createDataFrame(rows[:1] + rows[8:9], "vec_id long, embedding array<double>")
     assert [(r["query_id"], r["vec_id"]) for r in ann.nearest(few, few.where("vec_id = 0")).collect()] == [(0, 8)]
     assert ann.nearest(df.where("false"), df).collect() == []
@@ -81,14 +113,72 @@ def test_rollup_is_idempotent(spark, tmp_path):
     assert not rollup.committed("5")
 
 
+KIND = "kind string, source string, lang string, tokenizer string, tokens long, old_tokens long"
+
+
+def totals(rollup):
+    return {tuple(r) for r in rollup.totals().collect()}
+
+
 def test_a_batch_that_failed_is_written_again(spark, tmp_path):
     rollup = tokencounts.Rollup(spark, f"file://{tmp_path}/r")
-    rows = spark.createDataFrame([("insert", "a", "en", "t", 5, None)], "kind string, source string, lang string, tokenizer string, tokens long, old_tokens long")
-    rollup.apply("1", rows)
-    (tmp_path / "r" / "commits" / rollup._safe("1")).unlink()
-    assert rollup.totals().collect() == []
+    rows = spark.createDataFrame([("insert", "a", "en", "t", 5, None)], KIND)
+    rollup._commit, commit = lambda state: 1 / 0, rollup._commit
+    with pytest.raises(ZeroDivisionError):  # sums are written, the manifest is not
+        rollup.apply("1", rows)
+    rollup._commit = commit
+    (tmp_path / "r" / "aside").mkdir()
+    (tmp_path / "r" / "aside" / "half").write_text('{"generation": 1, "li')
+    assert totals(rollup) == set()
     assert rollup.apply("1", rows)
-    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "t", 1, 5)]
+    assert totals(rollup) == {("a", "en", "t", 1, 5)}
+    assert rollup.vacuum() == 1
+    assert totals(rollup) == {("a", "en", "t", 1, 5)}
+
+
+def test_writers_at_the_same_time(spark, tmp_path):
+    """Two compactions and two senders of one batch meet at every commit; each batch counts once."""
+    one, two = (tokencounts.Rollup(spark, f"file://{tmp_path}/r") for _ in range(2))
+    batch = lambda n: spark.createDataFrame([("insert", "a", "en", "t", n, None)], KIND).withColumn("n_docs", F.lit("clash"))
+    assert one.apply("1", batch(5)) and one.apply("2", batch(3))
+    commit = one._commit
+
+    def late(state):
+        one._commit = commit
+        assert two.compact() and two.apply("3", batch(5)) and not two.apply("3", batch(5))
+        return commit(state)
+
+    one._commit = late
+    assert not one.compact()
+    assert totals(one) == {("a", "en", "t", 3, 13)}
+
+    def beaten(state):
+        one._commit = commit
+        assert two.apply("4", batch(1))
+        return commit(state)
+
+    one._commit = beaten
+    assert not one.apply("4", batch(1))
+
+    def joined(state):
+        one._commit = commit
+        assert two.apply("5", batch(2))
+        return commit(state)
+
+    one._commit = joined
+    assert one.compact()  # folds what it has read; batch 5 stays beside it
+    assert totals(one) == {("a", "en", "t", 5, 16)}
+
+
+def test_op2_totals_are_a_recount(spark):
+    from acreline.llm.queries import op2_token_counts
+
+    tokens, want = WordTokens(default_path()), {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        n = want.setdefault((r["source"], r["lang"]), [0, 0])
+        n[0] += 1
+        n[1] += len(tokens.whole(r["text"] or ""))
+    assert {(r["source"], r["lang"]): [r["n_docs"], r["n_tokens"]] for r in op2_token_counts(spark, SF).collect()} == want
 
 
 def test_token_counts_equal_the_library(spark):
@@ -119,6 +209,15 @@ def test_quality_odd_rows(spark):
     assert quality.classify(docs.where("false"), labels).collect() == []
 
 
+def test_registered_domains(spark):
+    hosts = ["a.b.example.com", "example.co.uk", "www.example.co.uk:8080", "me@x.example.org.", "co.uk", "uk", "", "10.0.0.1:80", "[::1]:443", "b.co.com", "x.io"]
+    got = {r["host"]: (r["domain"], r["suffix"]) for r in urlfilter.with_parents(spark.createDataFrame([(h,) for h in hosts], "host string")).collect()}
+    assert got == {
+        "a.b.example.com": ("example.com", "com"), "example.co.uk": ("example.co.uk", "co.uk"), "www.example.co.uk:8080": ("example.co.uk", "co.uk"), "me@x.example.org.": ("example.org", "org"),
+        "co.uk": ("co.uk", "co.uk"), "uk": ("uk", "uk"), "": ("", ""), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "[::1]:443": ("[::1]", "[::1]"), "b.co.com": ("co.com", "com"), "x.io": ("x.io", "io"),
+    }
+
+
 def brute_rule(host, path):
     best = None
     for verdict, h, p in urlfilter.RULES:
@@ -136,6 +235,7 @@ def test_url_rules_and_reputation(spark):
     outcomes = spark.createDataFrame(labels, "page_id long, bad int")
     got = urlfilter.judge(pages, outcomes).collect()
     assert len(got) == len(rows)
+    assert sorted(map(str, urlfilter.judge(pages, outcomes, broadcast_hosts=0).collect())) == sorted(map(str, got))
     for r in got:
         rule = brute_rule(r["host"], r["path"])
         assert r["rule"] == (rule[1] if rule else None)
