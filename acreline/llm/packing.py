@@ -30,7 +30,7 @@ from acreline.runtime import stored
 
 WINDOW = 2048
 END_ID = 1
-#: Runs of the plan beyond which it is joined by shuffle instead of broadcast (about 60 bytes each).
+#: Runs of the plan beyond which it is joined by shuffle instead of broadcast (about 60 bytes each); the result is the same.
 BROADCAST_RUNS = 100_000
 #: Pieces that are numbered in one task.
 ROWS_PER_PART = 50_000
@@ -170,23 +170,32 @@ def sequences(docs: DataFrame, packed: DataFrame, window: int = WINDOW, tokenize
     """The packed ids: ``sequence_id, ids array<int>, n_tokens``.
 
     Padded to the window, except where the number of ids is a power of two.
-    ``doc_id`` has to be unique here.
+    A piece finds its ids by its document's id, its start and its checksum,
+    so null and repeated ids keep all their pieces; equal pieces are
+    interchangeable and numbered.
     """
     path = tokenizer or default_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(path)
         for batch in batches:
-            where = batch.column(1).to_pylist()
-            for at, ids, bounds in tokens.encode(batch.column(0)):
-                out = []
+            for at, ids, bounds in tokens.encode(batch.column(1)):
                 for r in range(len(bounds) - 1):
-                    own = np.append(ids[bounds[r] : bounds[r + 1]], np.uint32(END_ID)).astype(np.int32)
-                    out += [(p["sequence_id"], p["offset"], own[p["start"] : p["start"] + p["length"]]) for p in where[at + r]]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int32()))], ["sequence_id", "offset", "ids"])
-
-    spans = packed.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("spans"))
-    pieces = docs.select("doc_id", F.col("text").cast("string")).join(spans, "doc_id").select("text", "spans").mapInArrow(cut, "sequence_id long, offset long, ids array<int>")
-    whole = pieces.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))
+                    own = np.append(ids[bounds[r] : bounds[r + 1]], np.uint32(END_ID)).astype("<u4")
+                    starts = np.arange(0, len(own), window)
+                    parts = [own[a : a + window] for a in starts]
+                    values = pa.ListArray.from_arrays(pa.array(np.append(starts, len(own)).astype(np.int32)), pa.array(own.astype(np.int32)))
+                    one = batch.column(0).slice(at + r, 1).take(pa.array(np.zeros(len(parts), dtype=np.int64)))
+                    yield pa.RecordBatch.from_arrays([one, pa.array(starts), pa.array([zlib.crc32(x.tobytes()) for x in parts], pa.int64()), values], ["doc_id", "start", "ids_crc32", "ids"])
+
+    key = ("doc_id", "start", "ids_crc32")
+    numbered = lambda df, order: df.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(order)))
+    cast = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    pieces = numbered(cast.mapInArrow(cut, "doc_id long, start long, ids_crc32 long, ids array<int>"), "ids").alias("p")
+    places = numbered(packed.select(*key, "sequence_id", "offset"), "sequence_id").alias("q")
+    same = F.lit(True)
+    for c in (*key, "_n"):
+        same &= F.col(f"p.{c}").eqNullSafe(F.col(f"q.{c}"))
+    whole = pieces.join(places, same).groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))
     n = F.size("ids")
     return whole.select("sequence_id", F.when(F.bit_count(n) == 1, F.col("ids")).otherwise(F.concat("ids", F.array_repeat(F.lit(pad_id), F.lit(window) - n))).alias("ids"), n.alias("n_tokens"))

@@ -143,13 +143,21 @@ def assign(docs: DataFrame, n_shards: int = N_SHARDS, tolerance: float = TOLERAN
     return dealt.withColumn("_number", number).join(sizes, ["shard", "_part"]).select("doc_id", "size", "text_crc32", "shard", (F.col("_number") + F.col("_base")).cast("long").alias("slot"))
 
 
-def write_shards(docs: DataFrame, path: str, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE, max_rows_per_file: int = 1_000_000) -> None:
-    """Writes the documents, one folder ``shard=k`` each, after one exchange by shard and part."""
+def write_shards(docs: DataFrame, path: str, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE, max_rows_per_file: int = 1_000_000) -> str:
+    """Writes the documents, one folder ``shard=k`` each, after one exchange by shard and part.
+
+    All columns stay as they were; where docs has a ``shard`` of its own, the
+    folders are named with underscores behind it. The name is returned.
+    """
     keys = stored(keyed(docs), "keys")
     shard = _shard(splitters(keys, n_shards, tolerance))
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     tasks = total // n_shards // TASK_BYTES + 1  # of each shard
+    name = "shard"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    full = docs.withColumns({"_h": F.xxhash64(text), "_i": F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7))}).withColumn("shard", shard)
-    dealt = full.repartition(n_shards * tasks, "shard", F.pmod(F.xxhash64("_h", "_i"), F.lit(tasks)))
-    dealt.drop("_h", "_i").write.option("maxRecordsPerFile", max_rows_per_file).partitionBy("shard").parquet(path)
+    full = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(text).alias("_h"), F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7)).alias("_i"))
+    dealt = full.withColumn("_shard", shard).repartition(n_shards * tasks, "_shard", F.pmod(F.xxhash64("_h", "_i"), F.lit(tasks)))
+    dealt.select("row.*", F.col("_shard").alias(name)).write.option("maxRecordsPerFile", max_rows_per_file).partitionBy(name).parquet(path)
+    return name

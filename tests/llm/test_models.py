@@ -252,6 +252,123 @@ def test_url_rules_and_reputation(spark):
     assert urlfilter.judge(pages.where("false"), outcomes).collect() == []
 
 
+def test_trees_are_walked_as_they_are_grown():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 5)).astype(np.float32)
+    x[:, 4] = np.round(x[:, 4])  # ties
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] > 0) | (x[:, 4] == 1)).astype(float)
+    model = quality.fit(x, y)
+
+    def walk(row):
+        total = model.base
+        for feature, cut, value in zip(model.feature, model.cut, model.value, strict=True):
+            node = 0
+            while feature[node] >= 0:
+                node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+            total += value[node]
+        return 1 / (1 + math.exp(-total))
+
+    assert np.allclose(model.score(x), [walk(r) for r in x], atol=1e-12)
+    assert ((model.score(x) > 0.5) == y).mean() > 0.95
+
+
+def test_first_split_is_the_best_of_all():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(120, 3)), 1).astype(np.float32)
+    y = (x[:, 1] + 0.3 * rng.normal(size=120) > 0.2).astype(float)
+    model = quality.fit(x, y)
+    p = (y.sum() + 1) / (len(y) + 2)
+    g, h = y - p, np.full(len(y), p * (1 - p))
+    best = (-1.0, None)
+    for f in range(3):
+        cuts = np.unique(np.quantile(x[:, f], np.linspace(0, 1, quality.BINS + 1)[1:-1]).astype(np.float32))
+        for c in cuts:
+            left = x[:, f] <= c
+            if min(left.sum(), (~left).sum()) >= quality.LEAST:
+                gain = sum(g[m].sum() ** 2 / (h[m].sum() + quality.RIDGE) for m in (left, ~left)) - g.sum() ** 2 / (h.sum() + quality.RIDGE)
+                if gain > best[0] + 1e-9:
+                    best = (gain, (f, float(c)))
+    assert (int(model.feature[0][0]), float(model.cut[0][0])) == best[1]
+
+
+def test_features_of_a_long_text_are_those_of_its_bytes(monkeypatch):
+    import pyarrow as pa
+    from acreline.llm import textkit
+
+    texts = ["Aab  b\n1!é" * 50, "", "x" * 300, "end"]
+    whole = [quality.features(d, o) for _, _, d, o in textkit.text_slices(pa.array(texts))]
+    monkeypatch.setattr(textkit, "SLICE_BYTES", 64)
+    monkeypatch.setattr(textkit, "_powers", {})
+    parts = np.concatenate([quality.features(d, o) for _, _, d, o in textkit.text_slices(pa.array(texts))])
+    assert np.array_equal(np.concatenate(whole), parts)
+    h = [textkit.words(d, o, True) for _, _, d, o in textkit.text_slices(pa.array(texts))]
+    monkeypatch.undo()
+    w = [textkit.words(d, o, True) for _, _, d, o in textkit.text_slices(pa.array(texts))]
+    assert np.array_equal(np.concatenate([x.h for x in h]), np.concatenate([x.h for x in w])) and np.array_equal(np.concatenate([x.h2 for x in h]), np.concatenate([x.h2 for x in w]))
+
+
+def test_stages_take_odd_rows(spark):
+    """Nulls, empty and very long texts, repeats and clashing columns through every stage but the packing."""
+    import corpus_pipeline as p
+
+    long = " ".join(f"word{i % 5003} and" for i in range(150_000))
+    rows = [(1, None, "r"), (2, "", "r"), (None, "no id here at all", "r"), (None, None, None), (3, long, "r"), (3, long, "r"), (4, long + " end", "r"), (5, "a b c", "r"), (5, "x y z", "r"), (6, "\n\n", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").selectExpr("*", "length(text) as n_chars", "1 as drop", "2 as _may", "'k' as kept", "3 as rep", "4 as uid", "5 as component")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    from acreline.llm.quality import keep_good
+
+    assert sorted(map(str, keep_good(docs, labels, threshold=0.5).collect())) == sorted(map(str, docs.collect()))
+    assert keep_good(docs, labels, threshold=0.6).collect() == []
+    for name, stage in p.STAGES[1:-1]:
+        made = stage(spark, docs, SF)
+        assert made.schema == docs.schema, name
+        got = sorted(((r["doc_id"], r["text"]) for r in made.collect()), key=str)
+        want = [(d, t) for d, t, _ in rows]
+        if name == "n-gram Jaccard join":
+            want = [w for w in dict.fromkeys(want) if w[0] != 4] + [w for w in want if w[0] is None and want.count(w) > 1]
+        assert got == sorted(want, key=str), name
+        assert stage(spark, docs.where("false"), SF).collect() == []
+    packed = p.packing(spark, docs, SF)
+    tokens = WordTokens(default_path())
+    assert packed.agg(F.sum("length")).first()[0] == sum(len(tokens.whole(t or "")) + 1 for _, t, _ in rows)
+    assert p.packing(spark, docs.where("false"), SF).collect() == []
+
+
+def test_pipeline_stages_are_brute_force(spark):
+    import corpus_pipeline as p
+    from test_decontaminate import brute as brute_hits
+    from test_native import key
+    from test_nearjoin import brute as brute_classes
+
+    docs = p.stored(p.quality_classifier(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF), "good")
+    text = lambda df: {r["doc_id"]: r["text"] for r in df.collect()}
+    before = text(docs)
+    where = {}
+    for d, t in before.items():
+        for x in {key(x) for x in (t or "").split("\n")} - {""}:
+            where.setdefault(x, []).append(d)
+    want = {}
+    for d in sorted(before):
+        lines, seen = (before[d] or "").split("\n"), set()
+        kept = []
+        for x in lines:
+            if len(where.get(key(x), [])) >= 10 and (min(where[key(x)]) != d or key(x) in seen):
+                continue
+            seen.add(key(x))
+            kept.append(x)
+        if kept:
+            want[d] = "\n".join(kept)
+    deduped = p.stored(p.line_dedup(spark, docs, SF), "lines")
+    assert text(deduped) == want
+    classes = brute_classes(list(want.items()))
+    want = {d: t for d, t in want.items() if classes[d][0] == d}
+    single = p.stored(p.ngram_jaccard_join(spark, deduped, SF), "single")
+    assert text(single) == want
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    hits = {r[0]: r[2] for r in brute_hits(list(want.items()), items)}
+    assert text(p.benchmark_decontamination(spark, single, SF)) == {d: t for d, t in want.items() if not hits[d]}
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
 

@@ -110,6 +110,10 @@ def test_written_shards_hold_all(spark, tmp_path):
     sharding.write_shards(df, str(tmp_path / "out"), 4)
     want = {r["doc_id"]: r["shard"] for r in sharding.assign(df, 4).collect()}
     assert {r["doc_id"]: r["shard"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == want
+    more = df.withColumns({"shard": F.lit("mine"), "_h": F.lit("h"), "_i": F.lit(None).cast("string")}).union(spark.createDataFrame([(None, None, "x", None, "i"), (3, "t" * 10**6, "x", "h", "i")], "doc_id long, text string, shard string, _h string, _i string"))
+    assert sharding.write_shards(more, str(tmp_path / "more"), 4) == "shard_"
+    read = spark.read.parquet(str(tmp_path / "more")).select(*more.columns)
+    assert sorted(map(str, read.collect())) == sorted(map(str, more.collect()))
 
 
 def conversations(seed):
