@@ -1,78 +1,135 @@
-"""Neighbourhood filters on one value per pixel: speckle healing and focal mode.
+"""Neighbourhood filters on classes: speckle healing and focal mode.
 
-``px(tile, pix, r, c, v)``. Zero is "no class": it is never noise and never
-counted by the mode, but it can heal noise.
+``px(tile, pix, r, c, v)``, or with an array of years in another ``column``.
+Zero is "no class": it is never noise and never counted by the mode, but it
+can heal noise. All years and rounds are done in one exchange by blocks, with
+a halo as wide as what a pixel's result can depend on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreline.operators.regions import components
+from acreline.operators.blocks import ABSENT, block_map, label_grid
 from acreline.runtime import stored
 
+#: How far noise looks for its new value at first; farther only in tiles where some finds none.
+REACH = 16
+#: Pixels whose windows are gathered at once.
+CHUNK = 50_000
 
-def _offsets(reach: int) -> Column:
-    return F.expr(f"transform(sequence(0, {(2 * reach + 1) ** 2 - 1}), x -> struct(x div {2 * reach + 1} - {reach} as dr, x % {2 * reach + 1} - {reach} as dc))")
 
+def sizes(grid: np.ndarray) -> np.ndarray:
+    """Pixels of each non-zero pixel's component; 0 at zeros."""
+    lab, n = label_grid(np.where(grid == 0, ABSENT, grid + (grid < 0)))
+    count = np.append(np.bincount(lab[lab != ABSENT], minlength=n), 0)
+    return count[lab]
 
-def component_sizes(px: DataFrame) -> DataFrame:
-    """px of non-zero values with ``label`` and ``size`` of their component."""
-    labels = components(px.where("v <> 0"), "v")
-    return labels.join(labels.groupBy("tile", "label").agg(F.count("*").alias("size")), ["tile", "label"])
 
+def _circle(reach: int) -> np.ndarray:
+    """Steps (row, column) within ``reach``, by (distance, row, column)."""
+    d = np.arange(-reach, reach + 1)
+    step = np.stack(np.meshgrid(d, d, indexing="ij"), axis=2).reshape(-1, 2)
+    far = (step**2).sum(axis=1)
+    order = np.lexsort((step[:, 1], step[:, 0], far))
+    return step[order[(far[order] > 0) & (far[order] <= reach * reach)]]
 
-def heal_noise(px: DataFrame, max_pixels: int = 2) -> DataFrame:
+
+_UNHEALED = -(1 << 31)
+
+
+def heal_noise(px: DataFrame, max_pixels: int = 2, column: str = "v") -> DataFrame:
     """Components of at most ``max_pixels`` take the value of the nearest other pixel.
 
     Nearest by (distance, row, column). If all pixels of a tile are noise, or
-    none is, it stays. Only noise looks around, first at distance 2 and then,
-    for what found nothing, twice as far each time.
+    none is, it stays. Noise looks REACH far, and where some finds nothing, its
+    tile is done again eight times as far. Values are above -(2^31).
     """
-    noise = stored(component_sizes(px).where(F.col("size") <= max_pixels).select("tile", "pix", "r", "c"), "noise")
-    clean = px.join(noise.select("tile", "pix"), ["tile", "pix"], "left_anti").select("tile", "r", "c", F.col("v").alias("_v"))
-    span = px.groupBy("tile").agg((F.greatest(F.max("r") - F.min("r"), F.max("c") - F.min("c")) + 1).alias("n")).agg(F.max("n")).first()[0] or 0
-    left, reach, healed = noise.join(clean.select("tile").distinct(), "tile", "left_semi"), 2, None
+
+    def once(px: DataFrame, reach: int) -> DataFrame:
+        steps = _circle(reach)
+
+        def heal(grid: np.ndarray, present: np.ndarray) -> np.ndarray:
+            size = sizes(grid)
+            noise = (size > 0) & (size <= max_pixels)
+            clean = present & ~noise
+            out = grid.copy()
+            r, c = np.nonzero(noise)
+            for dr, dc in steps if clean.any() else ():
+                if not len(r):
+                    break
+                y, x = r + dr, c + dc
+                inside = (y >= 0) & (y < grid.shape[0]) & (x >= 0) & (x < grid.shape[1])
+                hit = inside.copy()
+                hit[inside] = clean[y[inside], x[inside]]
+                out[r[hit], c[hit]] = grid[y[hit], x[hit]]
+                r, c = r[~hit], c[~hit]
+            out[r, c] = _UNHEALED
+            return out
+
+        return block_map(px, column, heal, reach + max_pixels)
+
+    layered = px.schema[column].dataType.typeName() == "array"
+    left = F.array_contains(column, _UNHEALED) if layered else F.col(column) == _UNHEALED
+    done, reach, again = None, REACH, px
     while True:
-        around = left.withColumn("_o", F.explode(_offsets(reach)))
-        around = around.select("tile", "pix", (F.col("r") + F.col("_o.dr")).alias("r"), (F.col("c") + F.col("_o.dc")).alias("c"), (F.col("_o.dr") * F.col("_o.dr") + F.col("_o.dc") * F.col("_o.dc")).alias("_d"))
-        # what is nearest within a circle of the window's reach is nearest of all
-        near = around.where(F.col("_d") <= reach * reach).join(clean, ["tile", "r", "c"])
-        found = stored(near.groupBy("tile", "pix").agg(F.min_by("_v", F.struct("_d", "r", "c")).alias("_new")), "healed")
-        healed = found if healed is None else healed.union(found)
-        left = stored(left.join(found, ["tile", "pix"], "left_anti"), "left")
-        if reach > 2 * span or left.isEmpty():
-            break
-        reach *= 2
-    return px.join(healed, ["tile", "pix"], "left").withColumn("v", F.coalesce("_new", "v")).drop("_new")
-
-
-def focal_mode(px: DataFrame, radius: int, at: DataFrame | None = None) -> DataFrame:
-    """Every pixel's (or those of ``at(tile, pix)``) most frequent non-zero value around it.
+        made = stored(once(again, reach), "healed")
+        tiles = stored(made.where(left).select("tile").distinct(), "unhealed")
+        if tiles.isEmpty():
+            return made if done is None else done.union(made)
+        good = made.join(tiles, "tile", "left_anti")
+        done = good if done is None else done.union(good)
+        again = again.join(tiles, "tile", "left_semi")
+        span = again.groupBy("tile").agg((F.max("r") - F.min("r") + F.max("c") - F.min("c")).alias("n")).agg(F.max("n")).first()[0]
+        if reach > span:  # a tile or year of nothing but noise
+            old = again.select("tile", "pix", F.col(column).alias("_old"))
+            kept = F.transform(F.arrays_zip(F.col(column).alias("new"), F.col("_old").alias("old")), lambda x: F.when(x["new"] == _UNHEALED, x["old"]).otherwise(x["new"])) if layered else F.when(left, F.col("_old")).otherwise(F.col(column))
+            return done.union(made.join(tiles, "tile", "left_semi").join(old, ["tile", "pix"]).withColumn(column, kept.cast(px.schema[column].dataType)).select(*px.columns))
+        reach *= 8
+
+
+def mode_at(grid: np.ndarray, where: np.ndarray, radius: int) -> np.ndarray:
+    """grid with the most frequent non-zero value of the window around each marked pixel; the smaller one of equals, 0 for none.
+
+    The grid's edge is repeated beyond it.
+    """
+    padded, out = np.pad(grid, radius, mode="edge"), grid.copy()
+    r, c = np.nonzero(where)
+    d = np.arange(2 * radius + 1)
+    dr, dc = (x.ravel()[:, None] for x in np.meshgrid(d, d, indexing="ij"))
+    for a in range(0, len(r), CHUNK):
+        y, x = r[a : a + CHUNK], c[a : a + CHUNK]
+        seen = np.sort(padded[y + dr, x + dc], axis=0)
+        run, most, best = np.zeros(len(y), dtype=np.int64), np.zeros(len(y), dtype=np.int64), np.zeros(len(y), dtype=np.int64)
+        for i in range(len(seen)):
+            run = np.where(seen[i] == seen[i - 1], run + 1, 1) if i else run + 1
+            better = (run > most) & (seen[i] != 0)
+            most, best = np.where(better, run, most), np.where(better, seen[i], best)
+        out[y, x] = best
+    return out
+
+
+def focal_mode(px: DataFrame, radius: int, column: str = "v") -> DataFrame:
+    """Every pixel's most frequent non-zero value around it.
 
     The window repeats the edge pixels beyond the tile; ties go to the smaller
-    value; 0 where there is none. A tile is a full rectangle from its smallest
-    to its largest row and column.
+    value; 0 where there is none. A tile is a full rectangle.
     """
-    if radius < 1:
-        return px
-    edge = px.groupBy("tile").agg(F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    asked = px if at is None else px.join(at.select("tile", "pix"), ["tile", "pix"], "left_semi")
-    around = asked.select("tile", "pix", "r", "c").join(F.broadcast(edge) if at is None else edge, "tile").withColumn("_o", F.explode(_offsets(radius)))
-    clamp = lambda v, lo, hi: F.least(F.greatest(v, F.col(lo)), F.col(hi))
-    around = around.select("tile", "pix", clamp(F.col("r") + F.col("_o.dr"), "r0", "r1").alias("r"), clamp(F.col("c") + F.col("_o.dc"), "c0", "c1").alias("c"))
-    seen = around.join(px.select("tile", "r", "c", F.col("v").alias("_v")), ["tile", "r", "c"]).where("_v <> 0").groupBy("tile", "pix", "_v").agg(F.count("*").alias("_n"))
-    mode = seen.groupBy("tile", "pix").agg(F.min_by("_v", F.struct(-F.col("_n"), F.col("_v"))).alias("_mode"))
-    chosen = asked.select("tile", "pix").join(mode, ["tile", "pix"], "left").select("tile", "pix", F.coalesce("_mode", F.lit(0)).alias("_mode"))
-    return px.join(chosen, ["tile", "pix"], "left").withColumn("v", F.coalesce("_mode", "v")).drop("_mode")
-
-
-def focal_smooth(px: DataFrame, radius: int = 1, min_patch: int = 4, iterations: int = 3, final_radius: int = 0) -> DataFrame:
-    """Rounds of replacing components of fewer than ``min_patch`` pixels by their mode."""
-    for _ in range(iterations):
-        small = stored(component_sizes(px).where(F.col("size") < min_patch).select("tile", "pix"), "small")
-        if small.isEmpty():
-            break
-        px = stored(focal_mode(px, radius, small), "smooth")
-    return focal_mode(px, final_radius)
+    return block_map(px, column, lambda grid, present: mode_at(grid, present, radius), radius) if radius >= 1 else px
+
+
+def focal_smooth(px: DataFrame, radius: int = 2, min_patch: int = 5, iterations: int = 4, final_radius: int = 0, column: str = "v") -> DataFrame:
+    """Rounds of replacing components of fewer than ``min_patch`` pixels by their mode, then the mode of all."""
+
+    def smooth(grid: np.ndarray, present: np.ndarray) -> np.ndarray:
+        for _ in range(iterations if radius >= 1 else 0):
+            size = sizes(grid)
+            small = (size > 0) & (size < min_patch)
+            if not small.any():
+                break
+            grid = mode_at(grid, small, radius)
+        return mode_at(grid, present, final_radius) if final_radius >= 1 else grid
+
+    return block_map(px, column, smooth, iterations * max(radius, min_patch) + final_radius)

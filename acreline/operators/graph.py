@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acreline.operators.blocks import roots
 from acreline.runtime import stored
 
 MAX_ROUNDS = 60
@@ -34,33 +36,28 @@ def _small_star(e: DataFrame) -> DataFrame:
     return down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
+def _ranks(column: pa.Array) -> np.ndarray:
+    """Numbers in the order of the values; of a struct by its fields in turn."""
+    if not pa.types.is_struct(column.type):
+        return np.unique(column.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    parts = [_ranks(column.field(i)) for i in range(column.type.num_fields)]
+    rank = parts[0]
+    for part in parts[1:]:
+        rank = np.unique(rank * (int(part.max(initial=0)) + 1) + part, return_inverse=True)[1]
+    return rank
+
+
 def _in_one_task(e: DataFrame) -> DataFrame:
     kind = e.schema["u"].dataType.simpleString()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parent: dict = {}
-        plain = lambda v: tuple(v.values()) if isinstance(v, dict) else v
-        value = {}
-
-        def root(x):  # noqa: ANN001, ANN202
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        kept = None
-        for batch in batches:
-            kept = batch.schema.field(0).type
-            for u, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a, b = plain(u), plain(v)
-                value[a], value[b] = u, v
-                parent.setdefault(a, a)
-                parent.setdefault(b, b)
-                a, b = root(a), root(b)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-        if kept is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(list(value.values()), kept), pa.array([value[root(x)] for x in value], kept)], ["node", "component"])
+        if not (got := [b for b in batches if len(b)]):
+            return
+        table = pa.Table.from_batches(got).combine_chunks()
+        ends = pa.concat_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns])
+        _, example, node = np.unique(_ranks(ends), return_index=True, return_inverse=True)
+        names, half = ends.take(pa.array(example)), len(table)
+        yield pa.RecordBatch.from_arrays([names, names.take(pa.array(roots(len(example), node[:half], node[half:])))], ["node", "component"])
 
     return e.coalesce(1).mapInArrow(settle, f"node {kind}, component {kind}")
 

@@ -8,41 +8,56 @@ label of the region that absorbed the others.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acreline.functions.codes import PIXEL_AREA, PIXEL_M
+from acreline.operators import blocks
 from acreline.operators.graph import connected_components
 from acreline.runtime import stored
 
 THRESHOLDS = (100.0, 1000.0, 10000.0, 10000.0)
 MIN_AREA = 10000.0
+#: Rows of three numbers up to which a table, counted first, is broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def components(px: DataFrame, value: str = "seq") -> DataFrame:
     """px with ``label``: 4-connected pixels of a tile with one value.
 
-    Rows of equal pixels become runs first, so the graph has runs, not pixels.
+    A block's pixels are labelled at once; the graph has those components
+    only that touch across the borders of blocks. Columns that are not needed
+    should be left out of px, as all go through the kernel.
     """
-    row = Window.partitionBy("tile", "r").orderBy("c")
-    fresh = ~((F.lag("c").over(row) == F.col("c") - 1) & F.lag(value).over(row).eqNullSafe(F.col(value)))
-    broken = px.withColumn("_run", F.sum(F.coalesce(fresh, F.lit(True)).cast("int")).over(row))
-    broken = stored(broken.withColumn("_run", F.min("pix").over(Window.partitionBy("tile", "r", "_run"))), "runs")
-    below = broken.select("tile", (F.col("r") - 1).alias("r"), "c", value, F.col("_run").alias("_low"))
-    node = lambda c: F.struct("tile", F.col(c).alias("run"))
-    edges = broken.select("tile", "r", "c", value, "_run").join(below, ["tile", "r", "c", value]).select(node("_run").alias("u"), node("_low").alias("v"))
-    linked = connected_components(edges).select("node.tile", F.col("node.run").alias("_run"), F.col("component.run").alias("_root"))
-    return broken.join(linked, ["tile", "_run"], "left").withColumn("label", F.coalesce("_root", "_run")).drop("_run", "_root")
+
+    def label(table: pa.Table) -> pa.Table:
+        block = blocks.Block(table)
+        grid, n = blocks.label_grid(block.codes(value)[0])
+        own, pix = grid[block.at], block.table.column("pix").to_numpy()
+        least = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(least, own, pix)
+        return block.table.drop_columns(["_br", "_bc"]).append_column("_local", pa.array(least[own]))
+
+    schema = T.StructType([*px.schema.fields, T.StructField("_local", T.LongType())])
+    local = stored(blocks.dealt(px).groupBy("tile", "_br", "_bc").applyInArrow(label, schema), "blocks")
+    side = local.select("tile", "r", "c", F.col(value).alias("_v"), "_local")
+    first = lambda c: F.col(c) % blocks.BLOCK == 0
+    ahead = side.where(blocks.border("r")).withColumn("r", F.col("r") + 1).union(side.where(blocks.border("c")).withColumn("c", F.col("c") + 1))
+    ahead = ahead.select("tile", "r", "c", F.col("_v").alias("_w"), F.col("_local").alias("_other"))
+    node = lambda c: F.struct("tile", F.col(c).alias("label"))
+    edges = side.where(first("r") | first("c")).join(ahead, ["tile", "r", "c"]).where(F.col("_v").eqNullSafe(F.col("_w"))).select(node("_local").alias("u"), node("_other").alias("v"))
+    linked = connected_components(edges).select("node.tile", F.col("node.label").alias("_local"), F.col("component.label").alias("_root"))
+    linked = stored(linked, "linked")
+    linked = F.broadcast(linked) if linked.count() <= BROADCAST_ROWS else linked
+    return local.join(linked, ["tile", "_local"], "left").withColumn("label", F.coalesce("_root", "_local")).select(*px.columns, "label")
 
 
 def adjacency(labels: DataFrame) -> DataFrame:
     """``tile, lo, hi, sides``: pixel sides between regions, lo < hi."""
-    right, down = Window.partitionBy("tile", "r").orderBy("c"), Window.partitionBy("tile", "c").orderBy("r")
-    over = lambda w, at: F.when(F.lead(at).over(w) == F.col(at) + 1, F.lead("label").over(w))
-    px = labels.select("tile", "r", "c", "label")
-    pairs = px.select("tile", "label", over(right, "c").alias("other")).union(px.select("tile", "label", over(down, "r").alias("other")))
-    pairs = pairs.where("label <> other").select("tile", F.least("label", "other").alias("lo"), F.greatest("label", "other").alias("hi"))
-    return pairs.groupBy("tile", "lo", "hi").agg(F.count("*").alias("sides"))
+    return blocks.pair_counts(labels).where("lo <> hi")
 
 
 def region_table(labels: DataFrame) -> DataFrame:
@@ -124,9 +139,5 @@ def relabelled(labels: DataFrame, *mappings: DataFrame) -> DataFrame:
 def perimeters(labels: DataFrame, pixel_m: float = PIXEL_M) -> DataFrame:
     """``tile, label, perimeter``: sides without a pixel of the same region beyond them."""
     own = labels.groupBy("tile", "label").agg(F.count("*").alias("n"))
-    pairs = labels.select("tile", "r", "c", "label")
-    right, down = Window.partitionBy("tile", "r").orderBy("c"), Window.partitionBy("tile", "c").orderBy("r")
-    same = lambda w, at: ((F.lead(at).over(w) == F.col(at) + 1) & (F.lead("label").over(w) == F.col("label"))).cast("int")
-    inner = pairs.select("tile", "label", F.coalesce(same(right, "c"), F.lit(0)).alias("i")).union(pairs.select("tile", "label", F.coalesce(same(down, "r"), F.lit(0))))
-    inner = inner.groupBy("tile", "label").agg(F.sum("i").alias("inner"))
-    return own.join(inner, ["tile", "label"]).select("tile", "label", ((4 * F.col("n") - 2 * F.col("inner")) * pixel_m).alias("perimeter"))
+    inner = blocks.pair_counts(labels).where("lo = hi").select("tile", F.col("lo").alias("label"), F.col("sides").alias("inner"))
+    return own.join(inner, ["tile", "label"], "left").select("tile", "label", ((4 * F.col("n") - 2 * F.coalesce("inner", F.lit(0))) * pixel_m).alias("perimeter"))

@@ -1,8 +1,8 @@
 """Outlines of labelled pixels, coverage simplification and burning lines.
 
-One Arrow group per tile: a tile is a bounded window, so its pixels fit a
-task. Borders are unit edges with the region on the left; at a vertex where a
-region touches itself the right turn is taken, so holes stay apart.
+Pixels are seen in blocks (``blocks``), outlines are traced by region. Borders
+are unit edges with the region on the left; at a vertex where a region touches
+itself the right turn is taken, so holes stay apart.
 """
 
 from __future__ import annotations
@@ -12,44 +12,56 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acreline.functions import geometry as geo
 from acreline.functions.codes import PIXEL_M
+from acreline.operators.blocks import ABSENT, Block, dealt
 
 # directions west, south, east, north, as steps of (row, column)
 _DR, _DC = np.array([0, 1, 0, -1]), np.array([-1, 0, 1, 0])
 
 
-def directed_edges(r: np.ndarray, c: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(label, start row, start column, direction) of all border edges."""
-    key = (r - r.min() + 1) * (c.max() - c.min() + 3) + (c - c.min() + 1)
-    size = int((r.max() - r.min() + 3) * (c.max() - c.min() + 3))
-    grid = np.full(size, np.iinfo(np.int64).min, dtype=np.int64)
-    grid[key] = label
-    w = c.max() - c.min() + 3
+def border_edges(table: pa.Table) -> pa.Table:
+    """``tile, label, e``: a block's border edges, by region, in one number each.
+
+    Start row << 32, column << 3, direction << 1, and 1 where more than two
+    borders meet at the start.
+    """
+    block = Block(table)
+    tile, lab = block.table.column("tile")[0].as_py(), block.table.column("label").to_numpy()
+    names, number = np.unique(lab, return_inverse=True)
+    grid = np.pad(block.grid(number, ABSENT), 1, constant_values=ABSENT)
+    nw, ne, sw, se = grid[:-1, :-1], grid[:-1, 1:], grid[1:, :-1], grid[1:, 1:]
+    node = ((nw != ne).astype(np.int8) + (sw != se) + (nw != sw) + (ne != se)) > 2  # of the vertex at a pixel's upper left
+    i, j, mine = (x[block.own] for x in (*block.at, number))
     out = []
     # side of a pixel: step to the neighbour, start corner, direction
-    for step, dr, dc, d in ((-w, 0, 1, 0), (-1, 0, 0, 1), (w, 1, 0, 2), (1, 1, 1, 3)):
-        at = grid[key + step] != label
-        out.append((label[at], r[at] + dr, c[at] + dc, np.full(int(at.sum()), d)))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def chain(label: np.ndarray, r: np.ndarray, c: np.ndarray, d: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Closed rings (label, (row, column) of every unit vertex) from directed edges."""
-    width = int(c.max()) + 2
-    names, local = np.unique(label, return_inverse=True)
-    height = int(max(r.max(), (r + _DR[d]).max())) + 2
-    place = lambda lab, r, c, d: ((lab * height + r) * width + c) * 4 + d
-    start = place(local, r, c, d)
+    for sr, sc, dr, dc, d in ((-1, 0, 0, 1, 0), (0, -1, 0, 0, 1), (1, 0, 1, 0, 2), (0, 1, 1, 1, 3)):
+        at = grid[i + 1 + sr, j + 1 + sc] != mine
+        y, x = i[at] + dr, j[at] + dc
+        out.append((mine[at], (y + block.r0) << 32 | (x + block.c0) << 3 | d << 1 | node[y, x]))
+    mine, e = (np.concatenate(v) for v in zip(*out, strict=True))
+    order = np.argsort(mine, kind="stable")
+    some, first = np.unique(mine[order], return_index=True)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(e)).astype(np.int32)), pa.array(e[order]))
+    return pa.table([pa.array([tile] * len(some), pa.string()), pa.array(names[some], pa.int64()), lists], ["tile", "label", "e"])
+
+
+def chain(row: np.ndarray, r: np.ndarray, c: np.ndarray, d: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+    """Closed rings (row, edges in order) from the directed edges of several regions."""
+    height, width = int(r.max()) - int(r.min()) + 3, int(c.max()) - int(c.min()) + 3
+    r, c = r - r.min() + 1, c - c.min() + 1
+    place = lambda r, c, d: ((row * height + r) * width + c) * 4 + d
+    start = place(r, c, d)
     order = np.argsort(start)
     keys = start[order]
     er, ec = r + _DR[d], c + _DC[d]
     after = np.full(len(r), -1)
     for turn in (3, 0, 1):
-        want = place(local, er, ec, (d + turn) % 4)
+        want = place(er, ec, (d + turn) % 4)
         p = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
         hit = (keys[p] == want) & (after < 0)
         after[hit] = order[p[hit]]
@@ -62,16 +74,7 @@ def chain(label: np.ndarray, r: np.ndarray, c: np.ndarray, d: np.ndarray) -> Ite
                 seen[e] = 1
                 ring.append(e)
                 e = after[e]
-            ring.append(first)
-            yield int(names[local[first]]), np.stack([r[ring], c[ring]], axis=1)
-
-
-def _corners(ring: np.ndarray) -> np.ndarray:
-    """The ring without vertices inside straight stretches."""
-    step = np.diff(ring, axis=0)
-    cross = step[:, 0] * np.roll(step[:, 1], 1) - step[:, 1] * np.roll(step[:, 0], 1)
-    kept = ring[:-1][cross != 0]
-    return np.vstack([kept, kept[:1]])
+            yield int(row[first]), ring
 
 
 def _world(ring: np.ndarray, x0: float, y0: float, pixel: float) -> np.ndarray:
@@ -113,90 +116,71 @@ def visvalingam(points: np.ndarray, least: float, keep: int) -> np.ndarray:
     return stay
 
 
-def kept_vertices(r: np.ndarray, c: np.ndarray, d: np.ndarray, tolerance: float) -> set[tuple[int, int]]:
-    """Grid vertices that stay when all borders are simplified together.
+def _stay(points: np.ndarray, least: float, keep: int) -> np.ndarray:
+    """``visvalingam`` in the one of both directions that starts smaller, so that both sides of a border agree."""
+    if len(points) <= 2:
+        return np.ones(len(points), dtype=bool)
+    there, back = points[:2].ravel().tolist(), points[:-3:-1].ravel().tolist()
+    return visvalingam(points[::-1], least, keep)[::-1] if back < there else visvalingam(points, least, keep)
 
-    Vertices where three or four borders meet always stay; between them each
-    arc is simplified once, so both its sides lose the same vertices.
+
+def simplified(ring: np.ndarray, node: np.ndarray, least: float) -> np.ndarray:
+    """The corners of an open ring that stay.
+
+    Where more than two borders meet a corner always stays; between such
+    corners each stretch is simplified for itself. A ring without any begins
+    at its smallest corner, from either side.
     """
-    a = np.stack([r, c], axis=1)
-    b = np.stack([r + _DR[d], c + _DC[d]], axis=1)
-    both = np.sort(np.stack([a[:, 0] * (1 << 32) + a[:, 1], b[:, 0] * (1 << 32) + b[:, 1]], axis=1), axis=1)
-    edges = np.unique(both, axis=0).tolist()
-    near: dict[int, list[int]] = {}
-    for u, v in edges:
-        near.setdefault(u, []).append(v)
-        near.setdefault(v, []).append(u)
-    nodes = [v for v, n in near.items() if len(n) != 2]
-    used: set[tuple[int, int]] = set()
-    keep: set[tuple[int, int]] = {(v >> 32, v & 0xFFFFFFFF) for v in nodes}
-    at = lambda v: (v >> 32, v & 0xFFFFFFFF)
-
-    def walk(u: int, v: int) -> list[int]:
-        line = [u, v]
-        used.add((u, v))
-        used.add((v, u))
-        while len(near[v]) == 2 and v != line[0]:
-            u, v = v, near[v][0] if near[v][0] != u else near[v][1]
-            used.add((u, v))
-            used.add((v, u))
-            line.append(v)
-        return line
-
-    lines = [walk(u, v) for u in nodes for v in near[u] if (u, v) not in used]
-    lines += [walk(u, v) for u, v in edges if (u, v) not in used]
-    for line in lines:
-        points = np.array([at(v) for v in line], dtype=float)
-        if line[0] == line[-1]:
-            step = np.diff(points, axis=0)
-            turns = np.flatnonzero(step[:-1, 0] * step[1:, 1] != step[:-1, 1] * step[1:, 0]) + 1
-            if len(near[line[0]]) == 2 and len(turns):  # a loop may begin anywhere: begin at a corner
-                line = line[turns[0] : -1] + line[: turns[0] + 1]
-                points = np.array([at(v) for v in line], dtype=float)
-            stay = visvalingam(points, tolerance, 5)
-        else:
-            stay = visvalingam(points, tolerance, 2)
-        keep |= {at(v) for v, s in zip(line, stay, strict=True) if s}
-    return keep
+    begin = int(np.flatnonzero(node)[0]) if node.any() else int(np.lexsort((ring[:, 1], ring[:, 0]))[0])
+    ring, node = np.roll(ring, -begin, axis=0), np.roll(node, -begin)
+    ring = np.vstack([ring, ring[:1]])
+    stops = [*np.flatnonzero(node).tolist(), len(ring) - 1] if node.any() else [0, len(ring) - 1]
+    stay = np.zeros(len(ring), dtype=bool)
+    for a, b in zip(stops[:-1], stops[1:], strict=True):
+        part = ring[a : b + 1]
+        stay[a : b + 1] |= _stay(part, least, 5 if (part[0] == part[-1]).all() else 2)
+    return ring[:-1][stay[:-1]]
 
 
 def outlines(labels: DataFrame, pixel: float = PIXEL_M, origin: tuple[float, float] = (0.0, 0.0), tolerance: float | None = None) -> DataFrame:
     """``tile, label, geometry BINARY, area_sqm``: one polygon with holes per region.
 
+    Blocks of pixels give border edges, and only these meet again, by region.
     With a tolerance in metres the coverage is simplified: vertices of
     triangles under its square go, on both sides of a border alike, but those
     where three borders meet. Regions that collapse are left out.
     """
     x0, y0 = origin
 
-    def trace(table: pa.Table) -> pa.Table:
-        r, c, lab = (table.column(n).to_numpy().astype(np.int64) for n in ("r", "c", "label"))
-        lab, r, c, d = directed_edges(r, c, lab)
-        keep = None if tolerance is None else kept_vertices(r, c, d, (tolerance / pixel) ** 2)
-        rings: dict[int, list[np.ndarray]] = {}
-        for label, ring in chain(lab, r, c, d):
-            if keep is None:
-                ring = _corners(ring)
-            else:
-                kept = [p for p in map(tuple, ring[:-1].tolist()) if p in keep]
-                if len(kept) < 3:
-                    continue
-                ring = np.array([*kept, kept[0]])
-            ring = _world(ring, x0, y0, pixel)
-            if geo.signed_area(ring):
-                rings.setdefault(label, []).append(ring)
-        made = {k: _assemble(v) for k, v in rings.items()}
-        made = {k: v for k, v in made.items() if v}
-        return pa.table(
-            {
-                "tile": pa.array([table.column("tile")[0].as_py()] * len(made), pa.string()),
-                "label": pa.array(list(made), pa.int64()),
-                "geometry": pa.array([geo.encode(v) for v in made.values()], pa.binary()),
-                "area_sqm": pa.array([geo.area(v) for v in made.values()], pa.float64()),
-            }
-        )
-
-    return labels.select("tile", "r", "c", "label").groupBy("tile").applyInArrow(trace, "tile string, label long, geometry binary, area_sqm double")
+    def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            lists = batch.column(2)
+            e = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(len(batch)), pc.list_value_length(lists).to_numpy())
+            r, c, d, node = e >> 32, (e & 0xFFFFFFFF) >> 3, e >> 1 & 3, (e & 1).astype(bool)
+            rings: dict[int, list[np.ndarray]] = {}
+            for at, edges in chain(row, r, c, d):
+                ring, way = np.stack([r[edges], c[edges]], axis=1), d[edges]
+                corner = (way != np.roll(way, 1)) | (node[edges] if tolerance is not None else False)
+                ring, node_here = ring[corner], node[edges][corner]
+                if tolerance is not None:
+                    ring = simplified(ring, node_here, (tolerance / pixel) ** 2)
+                if len(ring) > 2:
+                    ring = _world(np.vstack([ring, ring[:1]]), x0, y0, pixel)
+                    if geo.signed_area(ring):
+                        rings.setdefault(at, []).append(ring)
+            made = {k: v for k in sorted(rings) if (v := _assemble(rings[k]))}
+            own = pa.array(list(made), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(own), batch.column(1).take(own), pa.array([geo.encode(v) for v in made.values()], pa.binary()), pa.array([geo.area(v) for v in made.values()], pa.float64())],
+                ["tile", "label", "geometry", "area_sqm"],
+            )
+
+    edges = dealt(labels.select("tile", "r", "c", "label"), 1).groupBy("tile", "_br", "_bc").applyInArrow(border_edges, "tile string, label long, e array<long>")
+    whole = edges.groupBy("tile", "label").agg(F.flatten(F.collect_list("e")).alias("e"))
+    return whole.mapInArrow(trace, "tile string, label long, geometry binary, area_sqm double")
 
 
 def _touched(line: np.ndarray, reach: float) -> np.ndarray:

@@ -218,7 +218,7 @@ def region_windows(spark: SparkSession, d: str) -> DataFrame:
 
 def _tiled(spark: SparkSession, d: str) -> DataFrame:
     tile = F.concat(F.char(F.floor(F.col("r") / 50) + 65), F.floor(F.col("c") / 50).cast("string"))
-    return stored(regions.components(combine.retained(px(spark, d)).withColumn("tile", tile)), "tiled")
+    return stored(regions.components(combine.retained(px(spark, d)).drop("cdl", "keys", "attr").withColumn("tile", tile)), "tiled")
 
 
 def _zones(spark: SparkSession, d: str) -> DataFrame:

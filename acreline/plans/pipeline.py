@@ -42,7 +42,7 @@ def polygonize(stack: DataFrame, p: Params, mask: DataFrame | None = None) -> Da
     px = combine.keyed(stack, n, p.general, p.exclude_low)
     kept = combine.retained(px, 1 if p.by_region else p.min_years)
     kept = kept if mask is None else combine.without(kept, mask)
-    labels = stored(regions.components(kept).drop("cdl", "keys", "attr"), "labels")
+    labels = stored(regions.components(kept.drop("cdl", "keys", "attr")), "labels")
     table = regions.region_table(labels)
     if p.by_region:
         table = regions.keep_cropped(table, p.min_years, p.min_area, area)

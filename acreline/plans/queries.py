@@ -41,7 +41,7 @@ def masked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:
-    return regions.components(masked(spark, d))
+    return regions.components(masked(spark, d).drop("cdl", "keys", "attr"))
 
 
 def graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -117,6 +117,19 @@ def label_components(spark: SparkSession, d: str) -> DataFrame:
     return labelled(spark, d).select("pix", "label")
 
 
+@query(o.sql(o.LABELS, "select pix as node, label as component from lab"))
+def components_in_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Components of the pixel graph by star rounds, which larger graphs take."""
+    from acreline.operators.graph import connected_components
+
+    cells = masked(spark, d).select("r", "c", "pix", "seq")
+    ahead = cells.select((F.col("r") + 1).alias("r"), "c", F.col("pix").alias("u"), "seq").union(cells.select("r", (F.col("c") + 1).alias("c"), F.col("pix").alias("u"), "seq"))
+    edges = cells.join(ahead, ["r", "c", "seq"]).select("u", F.col("pix").alias("v"))
+    found = connected_components(edges, small=0)
+    alone = cells.select(F.col("pix").alias("node")).join(found.select("node"), "node", "left_anti").select("node", F.col("node").alias("component"))
+    return found.union(alone)
+
+
 @query(o.sql(o.LABELS, "select label, count(*) * 900.0::double area from lab group by label"))
 def label_areas(spark: SparkSession, d: str) -> DataFrame:
     return labelled(spark, d).groupBy("label").agg((F.count("*") * 900.0).alias("area"))
@@ -180,15 +193,8 @@ def road_mask(spark: SparkSession, d: str) -> DataFrame:
     return combine.without(rows, px(spark, d).where(_ROAD)).select("pix")
 
 
-@query(o.sql(o.STACK, "select (r * 3 + x // 3) * 300 + c * 3 + x % 3 as pix, r * 3 + x // 3 as r, c * 3 + x % 3 as c, seq from px, range(9) t(x) where px.r < 40"))
-def upsample(spark: SparkSession, d: str) -> DataFrame:
-    rows = combine.upsampled(px(spark, d).where("r < 40"), 3, pixels.WIDTH).withColumn("keys", codes.unpack(F.col("seq"), N))
-    return rows.select("pix", "r", "c", text("keys").alias("seq"))
-
-
 @query(o.sql(o.STACK, "select (r * 3 + x // 3) * 300 + c * 3 + x % 3 as pix, r * 3 + x // 3 as r, c * 3 + x % 3 as c, seq from px, range(9) t(x)"))
-def upsample_grid(spark: SparkSession, d: str) -> DataFrame:
-    """All rows of the grid; ``upsample`` compares the first 40 only."""
+def upsample(spark: SparkSession, d: str) -> DataFrame:
     rows = combine.upsampled(px(spark, d), 3, pixels.WIDTH).withColumn("keys", codes.unpack(F.col("seq"), N))
     return rows.select("pix", "r", "c", text("keys").alias("seq"))
 
@@ -223,11 +229,6 @@ def focal_mode(spark: SparkSession, d: str) -> DataFrame:
     return denoise.focal_mode(one_year(spark, d), 1).select("pix", "v")
 
 
-@query(o.sql(_V + _MODE, "select v.pix, case when size < 4 then coalesce(mode, 0) else v.v end v from v left join md using (pix) left join sz using (pix)"))
-def focal_smooth(spark: SparkSession, d: str) -> DataFrame:
-    return denoise.focal_smooth(one_year(spark, d), 1, 4, iterations=1).select("pix", "v")
-
-
 def _focal_round(i: int) -> str:
     """v{i + 1} from v{i}: radius 2, components of fewer than 5 pixels."""
     return f""",
@@ -245,9 +246,8 @@ v{i + 1} as (select a.pix, a.r, a.c, case when s.pix is null then a.v else coale
         "select pix, v from v4",
     )
 )
-def focal_smooth_rounds(spark: SparkSession, d: str) -> DataFrame:
-    """The reference's defaults; ``focal_smooth`` compares a single round."""
-    return denoise.focal_smooth(one_year(spark, d), 2, 5, iterations=4).select("pix", "v")
+def focal_smooth(spark: SparkSession, d: str) -> DataFrame:
+    return denoise.focal_smooth(one_year(spark, d)).select("pix", "v")
 
 
 @query(o.sql(o.LABELS, """select label, (4 * count(*) - 2 * sum(x))::double * 30 perimeter from (select a.label, a.pix,

@@ -52,6 +52,51 @@ def test_connected_components(spark, small):
     assert graph.connected_components(spark.createDataFrame([], "u long, v long"), small).collect() == []
 
 
+def test_kernels_agree_across_blocks(spark):
+    """A grid of two by two blocks whose regions cross their borders."""
+    rng = np.random.default_rng(4)
+    h, w, top = 40, 30, 1024 - 20
+    a = np.repeat(np.repeat(rng.integers(1, 4, (h // 4, w // 3)), 4, axis=0), 3, axis=1)
+    a[rng.random((h, w)) < 0.05] = 9
+    rows = [("A0", int((r + top) * 5000 + c + top), r + top, c + top, int(a[r, c])) for r in range(h) for c in range(w)]
+    px = spark.createDataFrame(rows, "tile string, pix long, r long, c long, v int")
+    want = label(a.tolist())
+    lab = regions.components(px, "v").cache()
+    got = {(r["r"] - top, r["c"] - top): r["label"] for r in lab.collect()}
+    key = lambda n: (n // w + top) * 5000 + n % w + top
+    assert got == {(r, c): key(want[r][c]) for r in range(h) for c in range(w)}
+    pairs = {}
+    for r in range(h):
+        for c in range(w):
+            for y, x in ((r + 1, c), (r, c + 1)):
+                if y < h and x < w:
+                    k = tuple(sorted((key(want[r][c]), key(want[y][x]))))
+                    pairs[k] = pairs.get(k, 0) + 1
+    assert {(r["lo"], r["hi"]): r["sides"] for r in regions.adjacency(lab).collect()} == {k: n for k, n in pairs.items() if k[0] != k[1]}
+    count = {k: sum(row.count(k) for row in want) for row in want for k in row}
+    assert {r["label"]: r["perimeter"] for r in regions.perimeters(lab, 1.0).collect()} == {key(k): 4 * n - 2 * pairs.get((key(k), key(k)), 0) for k, n in count.items()}
+    from acreline.functions import geometry as g
+    from acreline.operators import vector
+
+    shapes = {r["label"]: g.decode(bytes(r["geometry"]))[1] for r in vector.outlines(lab, 1.0).collect()}
+    assert {k: g.area(p) for k, p in shapes.items()} == {key(k): n for k, n in count.items()}
+    small = spark.createDataFrame([(t, p, r - top, c - top, v) for t, p, r, c, v in rows], px.schema)
+    for change in (denoise.heal_noise, denoise.focal_smooth, lambda x: denoise.focal_mode(x, 3)):
+        moved = {(r["r"] + top, r["c"] + top): r["v"] for r in change(small).collect()}
+        assert {(r["r"], r["c"]): r["v"] for r in change(px).collect()} == moved
+    simple = {r["label"]: r["area_sqm"] for r in vector.outlines(lab, 1.0, tolerance=1.5).collect()}
+    one = regions.components(small, "v").withColumn("label", F.col("label"))
+    assert sorted(simple.values()) == sorted(r["area_sqm"] for r in vector.outlines(one, 1.0, tolerance=1.5).collect())
+
+
+def test_years_heal_together(spark):
+    a = [[[5, 1 + (r + c) % 2, 3] for c in range(9)] for r in range(9)]
+    a[4][4] = [9, 1, 8]
+    px = spark.createDataFrame([("A0", r * 9 + c, r, c, a[r][c]) for r in range(9) for c in range(9)], "tile string, pix long, r long, c long, cdl array<int>")
+    got = {(r["r"], r["c"]): r["cdl"] for r in denoise.heal_noise(px, 2, "cdl").collect()}
+    assert got == {(r, c): [5, 1 + (r + c) % 2, 3] for r in range(9) for c in range(9)}  # the second year is noise only
+
+
 def test_known_answers(spark):
     from acreline.plans import queries as q
 

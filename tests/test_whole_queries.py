@@ -11,7 +11,7 @@ D = "/root/testdata/sf0.01"
 
 def test_upsample_covers_the_grid(spark):
     rows = {(r["r"], r["c"]): r["seq"] for r in q.px(spark, D).withColumn("keys", q.codes.unpack(F.col("seq"), q.N)).select("r", "c", q.text("keys").alias("seq")).collect()}
-    got = q.QUERIES["upsample_grid"](spark, D).collect()
+    got = q.QUERIES["upsample"](spark, D).collect()
     assert {(r["r"], r["c"]) for r in got} == {(3 * r + i, 3 * c + j) for r, c in rows for i in range(3) for j in range(3)}
     assert len(got) == 9 * len(rows) and all(x["seq"] == rows[x["r"] // 3, x["c"] // 3] and x["pix"] == x["r"] * 300 + x["c"] for x in got)
 
@@ -62,6 +62,6 @@ def test_focal_smooth_runs_the_rounds_of_the_reference(spark, monkeypatch):
     a = [[rng.randrange(5) for _ in range(14)] for _ in range(14)]
     px = spark.createDataFrame([("A0", r * 14 + c, r, c, a[r][c]) for r in range(14) for c in range(14)], "tile string, pix long, r long, c long, v int")
     monkeypatch.setattr(q, "one_year", lambda spark, d: px)
-    got = {r["pix"]: r["v"] for r in q.QUERIES["focal_smooth_rounds"](spark, D).collect()}
+    got = {r["pix"]: r["v"] for r in q.QUERIES["focal_smooth"](spark, D).collect()}
     want = [{r * 14 + c: m[r][c] for r in range(14) for c in range(14)} for m in (brute_focal(a, n) for n in (1, 3, 4))]
     assert got == want[2] and want[2] not in want[:2]
