@@ -39,10 +39,20 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--tolerance", type=float, default=30.0)
         for flag in ("--general", "--exclude-low", "--by-region", "--no-dissolve"):
             p.add_argument(flag, action="store_true")
+        p.add_argument("--focal-radius", type=int, default=0, help="focal filter on every year")
+        p.add_argument("--noise", type=int, default=0, help="heal components of that many pixels of every year")
+        p.add_argument("--upsample", type=int, default=1)
+        p.add_argument("--origin", default="0,0", help="left and top of pixel (0, 0)")
+
+    def masks(p: argparse.ArgumentParser) -> None:
+        p.add_argument("--mask", help="Parquet (tile, pix) to leave out")
+        p.add_argument("--lines", help="Parquet with geometry of lines to burn out")
+        p.add_argument("--line-buffer", type=float, default=15.0)
+        p.add_argument("--edges", help="Parquet (lon, lat, value) of an edge raster to leave out")
 
     p = add("polygonize", "stacks or rasters to tile polygons", "source", "target")
     shared(p)
-    p.add_argument("--mask", help="Parquet (tile, pix) to leave out")
+    masks(p)
     p.add_argument("--tile", default="5000")
     p.add_argument("--area", help="one tile only")
     p.add_argument("--shards", type=int, default=1)
@@ -52,12 +62,14 @@ def parser() -> argparse.ArgumentParser:
     shared(p)
     p = add("run-all", "polygonize and postprocess", "source", "boundaries", "target")
     shared(p)
-    p.add_argument("--mask")
+    masks(p)
     p.add_argument("--tile", default="5000")
-    add("boundaries", "counties and crosswalk to boundaries", "counties", "crosswalk", "target")
+    p = add("boundaries", "counties and crosswalk to boundaries", "counties", "crosswalk", "target")
+    p.add_argument("--projected", action="store_true", help="geometries are in metres already")
     p = add("roads", "segments to road and rail lines", "segments", "target")
     p.add_argument("--classes", default="motorway,trunk,primary,secondary,tertiary")
     p.add_argument("--window", default="-125,24,-66.5,50")
+    p.add_argument("--projected", action="store_true", help="geometries are in metres already")
     p = add("raster-urls", "where yearly rasters are", "base")
     p.add_argument("years")
     p.add_argument("--resolution", type=int, default=30)
@@ -86,18 +98,71 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--whole", action="store_true")
     p.add_argument("--per-class", type=int, metavar="YEAR")
     p.add_argument("--tile", type=int, default=5000)
-    add("match", "best match of every truth polygon", "ours", "truth")
-    add("instances", "F1 ladder and panoptic quality", "ours", "truth")
-    p = add("sweep", "region counts under a grid of parameters", "source")
-    p.add_argument("--min-years", default="1,2,3")
-    p.add_argument("--tolerances", default="15,30,60")
+    p.add_argument("--report", help="folder that JSON rows are added to")
+    for name, about in (("match", "best match of every truth polygon"), ("instances", "F1 ladder, panoptic quality and border distance")):
+        p = add(name, about, "ours", "truth")
+        p.add_argument("--regions", action="store_true", help="for each validation region")
+        p.add_argument("--tile", type=int, default=5000)
+        p.add_argument("--report", help="folder that JSON rows are added to")
+    p = add("sweep", "scores against truth, by region, under a grid of parameters", "source", "truth")
+    shared(p)
+    masks(p)
+    for name in ("--grid-min-years", "--grid-tolerances", "--grid-min-areas"):
+        p.add_argument(name, default="", help="comma list")
+    p.add_argument("--grid-dissolve", action="store_true", help="with and without")
+    p.add_argument("--grid-road-mask", action="store_true", help="with and without")
+    p.add_argument("--window", help="xmin,ymin,xmax,ymax instead of the validation regions")
+    p.add_argument("--tile", type=int, default=5000)
+    p.add_argument("--report", help="folder that JSON rows are added to")
     return top
 
 
 def params(a: argparse.Namespace):  # noqa: ANN201
     from acreline.plans.pipeline import Params
 
-    return Params(a.start, a.end, a.min_years, a.thresholds, a.min_area, a.tolerance, a.general, a.exclude_low, a.by_region, not a.no_dissolve)
+    x0, y0 = (float(v) for v in a.origin.split(","))
+    filters = {"focal_radius": a.focal_radius, "noise_px": a.noise, "upsample": a.upsample, "line_buffer": getattr(a, "line_buffer", 15.0), "origin": (x0, y0)}
+    return Params(a.start, a.end, a.min_years, a.thresholds, a.min_area, a.tolerance, a.general, a.exclude_low, a.by_region, not a.no_dissolve, **filters)
+
+
+def cuts(spark: SparkSession, a: argparse.Namespace) -> dict[str, DataFrame]:
+    """What is taken out before labelling."""
+    return {n: spark.read.parquet(path) for n, path in (("mask", a.mask), ("lines", a.lines), ("edges", a.edges)) if path}
+
+
+def region_windows(spark: SparkSession, tile: int) -> DataFrame:
+    from acreline.operators import evaluate
+
+    points = spark.createDataFrame([(n, float(x), float(y)) for n, x, y in evaluate.REGIONS], "region string, x double, y double")
+    return points.select("region", *(c.alias(n) for n, c in evaluate.region_window(F.col("x"), F.col("y"), tile).items()))
+
+
+def scores(spark: SparkSession, a: argparse.Namespace, ours: DataFrame, truth: DataFrame, cell: float) -> DataFrame:
+    """Match or instance figures of the whole, or a row per region that truth touches."""
+    from acreline.functions import geometry as g
+    from acreline.operators import evaluate
+
+    def one(ours: DataFrame, truth: DataFrame) -> DataFrame:
+        if a.command == "match":
+            return evaluate.match_summary(evaluate.best_match(ours, truth, cover=evaluate.SHAPES, cell=cell))
+        from acreline.runtime import stored
+
+        ious = stored(evaluate.pairwise_iou(ours, truth, evaluate.SHAPES, cell), "iou")
+        made = evaluate.panoptic(ious, ours.count(), truth.count())
+        if "error" in made.columns:
+            return made
+        pairs = evaluate.matched_pairs(ours, truth, ious)
+        far = evaluate.chamfer_summary(pairs, g.wkb_chamfer("ours_geometry", "truth_geometry"))
+        return made.crossJoin(F.broadcast(far.withColumnRenamed("n", "n_chamfer")))  # a row each
+
+    if not a.regions:
+        return one(ours, truth)
+    out = None
+    for r in region_windows(spark, a.tile).collect():
+        window = (r["xmin"], r["ymin"], r["xmax"], r["ymax"])
+        got = one(*(evaluate.SHAPES.clipped(s, window) for s in (ours, truth))).select(F.lit(r["region"]).alias("region"), "*")
+        out = got if out is None else out.unionByName(got, allowMissingColumns=True)
+    return out
 
 
 def stacks(spark: SparkSession, source: str, years: tuple[int, ...], tile: str) -> DataFrame:
@@ -114,9 +179,10 @@ def stacks(spark: SparkSession, source: str, years: tuple[int, ...], tile: str)
 
 def sides(spark: SparkSession, *paths: str) -> list[DataFrame]:
     """Indexed polygon tables as sides of a comparison."""
-    from acreline.functions import geometry as g
+    from acreline.plans.experiment import sided
+    from acreline.runtime import stored
 
-    return [spark.read.parquet(p).withColumns({"id": F.monotonically_increasing_id(), "area": g.wkb_area("geometry")}) for p in paths]
+    return [stored(sided(spark.read.parquet(p)), "side") for p in paths]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -128,7 +194,6 @@ def main(argv: list[str] | None = None) -> None:
     from acreline.plans import pipeline
     from acreline.sources import tables
 
-    overlap = lambda: g.wkb_intersection_area("a.geometry", "b.geometry")
     out: DataFrame | None = None
     if a.command in ("polygonize", "run-all"):
         p = params(a)
@@ -139,17 +204,20 @@ def main(argv: list[str] | None = None) -> None:
             if a.resume:
                 names = tiles.pending(names, spark.read.parquet(a.target))
             rows = rows.join(names, "tile", "left_semi")
-        shapes = pipeline.polygonize(rows, p, spark.read.parquet(a.mask) if a.mask else None)
+        shapes = pipeline.polygonize(rows, p, **cuts(spark, a))
         target = a.target if a.command == "polygonize" else f"{a.target}/tiles"
         shapes.write.mode("append" if a.command == "polygonize" and a.resume else "overwrite").partitionBy("tile").parquet(target)
     if a.command in ("postprocess", "run-all"):
         source = a.source if a.command == "postprocess" else f"{a.target}/tiles"
         pipeline.write_national(pipeline.postprocess(spark.read.parquet(source), spark.read.parquet(a.boundaries), params(a)), a.target)
     elif a.command == "boundaries":
-        sinks.write_geoparquet(tables.boundaries(spark.read.parquet(a.counties), tables.read_crosswalk(spark, a.crosswalk)), a.target)
+        made = tables.boundaries(spark.read.parquet(a.counties), tables.read_crosswalk(spark, a.crosswalk))
+        sinks.write_geoparquet(made if a.projected else made.withColumn("geometry", g.wkb_albers("geometry")), a.target)
     elif a.command == "roads":
         window = tuple(float(x) for x in a.window.split(","))
-        tables.roads(spark.read.parquet(a.segments), tuple(a.classes.split(",")), window).write.mode("overwrite").parquet(a.target)
+        lines = tables.roads(spark.read.parquet(a.segments), tuple(a.classes.split(",")), window).where("geometry is not null").select("geometry", "kind")
+        lines = lines if a.projected else lines.withColumn("geometry", g.wkb_albers("geometry"))
+        vector.with_bounds(lines).write.mode("overwrite").option("compression", "zstd").parquet(a.target)
     elif a.command == "raster-urls":
         out = spark.createDataFrame([(tables.raster_url(a.base, int(y), a.resolution),) for y in a.years.split(",")], "url string")
     elif a.command == "fetch-rasters":
@@ -198,26 +266,32 @@ def main(argv: list[str] | None = None) -> None:
     elif a.command in ("parity", "match", "instances"):
         ours, truth = sides(spark, a.ours, a.truth)
         cell = 5000.0
-        if a.command == "match":
-            out = evaluate.match_summary(evaluate.best_match(ours, truth, overlap=overlap, cell=cell))
-        elif a.command == "instances":
-            out = evaluate.panoptic(evaluate.pairwise_iou(ours, truth, overlap, cell), ours.count(), truth.count())
+        if a.command != "parity":
+            out = scores(spark, a, ours, truth, cell)
         elif a.per_class:
             cls = lambda s: s.withColumn("cls", F.col(f"CDL{a.per_class}"))
-            out = evaluate.confusion(cls(ours), cls(truth), overlap, cell).orderBy(F.desc("km2"), "ours", "truth").limit(25)
+            out = evaluate.confusion(cls(ours), cls(truth), evaluate.SHAPES, cell).orderBy(F.desc("km2"), "ours", "truth").limit(25)
         elif a.whole:
-            out = evaluate.whole_parity(ours, truth, overlap, cell)
+            out = evaluate.whole_parity(ours, truth, evaluate.SHAPES, cell)
         else:
-            points = spark.createDataFrame(evaluate.REGIONS, "region string, x double, y double")
-            windows = points.select("region", *(c.alias(n) for n, c in evaluate.region_window(F.col("x"), F.col("y"), a.tile).items()))
-            out = evaluate.window_parity(ours, truth, windows, overlap, cell=cell)
+            out = evaluate.window_parity(ours, truth, region_windows(spark, a.tile), evaluate.SHAPES, cell=cell)
     elif a.command == "sweep":
-        rows = spark.read.parquet(a.source)
-        for years in map(int, a.min_years.split(",")):
-            for tolerance in map(float, a.tolerances.split(",")):
-                n = rows.select(F.size("cdl")).first()[0]
-                made = pipeline.polygonize(rows, pipeline.Params(2000, 1999 + n, years, tolerance=tolerance))
-                print(json.dumps({"min_years": years, "tolerance": tolerance, **made.agg(F.count("*").alias("n"), F.sum("area_sqm").alias("area")).first().asDict()}))
+        from acreline.plans import experiment
+
+        base, both = params(a), lambda flag, one: [True, False] if flag else [one]
+        numbers = lambda text, one, kind: [kind(v) for v in text.split(",") if v] or [one]
+        chosen = experiment.grid(
+            min_years=numbers(a.grid_min_years, base.min_years, int), tolerance=numbers(a.grid_tolerances, base.tolerance, float), min_area=numbers(a.grid_min_areas, base.min_area, float),
+            dissolve=both(a.grid_dissolve, base.dissolve), road_mask=both(a.grid_road_mask, True),
+        )
+        windows = region_windows(spark, a.tile)
+        if a.window:
+            windows = spark.createDataFrame([("window", *(float(v) for v in a.window.split(",")))], "region string, xmin double, ymin double, xmax double, ymax double")
+        for one, scored in experiment.sweep(spark.read.parquet(a.source), spark.read.parquet(a.truth), windows, base, chosen, **cuts(spark, a)):
+            made = scored.select(*(F.lit(v).alias(k) for k, v in one.items()), "*")
+            out = made if out is None else out.unionByName(made)
+    if out is not None and getattr(a, "report", None):
+        sinks.write_report(out, a.report)
     for r in out.toJSON().collect() if out is not None else []:
         print(r)
     print(json.dumps({"command": a.command, "seconds": round(time.time() - started, 1)}))

@@ -234,6 +234,62 @@ def touches(a: list[Rings], b: list[Rings]) -> bool:
     return bool(near(a, b) or near(b, a))
 
 
+def clip(polygons: list[Rings], x0: float, y0: float, x1: float, y1: float) -> list[Rings]:
+    """Polygons cut to a box (Sutherland and Hodgman, 1974); what falls apart stays joined along the box's border."""
+    out = []
+    for rings in polygons:
+        kept = [c for r in rings if len(c := _clip_ring(r, (x0, y0, x1, y1))) > 3 and signed_area(c)]
+        if kept and len(_clip_ring(rings[0], (x0, y0, x1, y1))) > 3:
+            out.append(kept)
+    return out
+
+
+def _clip_ring(ring: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
+    p = ring[:-1]
+    for k, edge in enumerate(box):
+        axis, sign = k % 2, 1 if k < 2 else -1
+        if not len(p):
+            return p
+        d = sign * (p[:, axis] - edge)
+        if (d >= 0).all():
+            continue
+        q, e = np.roll(p, -1, axis=0), np.roll(d, -1)
+        inside, crosses = d >= 0, (d >= 0) != (e >= 0)
+        t = np.divide(d, d - e, out=np.zeros_like(d), where=crosses)
+        cut = p + t[:, None] * (q - p)
+        cut[:, axis] = edge
+        p = np.stack([p, cut], axis=1).reshape(-1, 2)[np.stack([inside, crosses], axis=1).ravel()]
+    return np.concatenate([p, p[:1]]) if len(p) > 2 else p[:0]
+
+
+def _segments(parts: list[Rings]) -> np.ndarray:
+    return np.concatenate([np.hstack([r[:-1], r[1:]]) for p in parts for r in p])
+
+
+def _cross(a: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
+    return (b[..., 0] - a[..., 0]) * (p[..., 1] - a[..., 1]) - (b[..., 1] - a[..., 1]) * (p[..., 0] - a[..., 0])
+
+
+def intersects(a: list[Rings], b: list[Rings]) -> bool:
+    """Whether two polygons have a point in common, one of a border too."""
+    ax0, ay0, ax1, ay1 = bounds(a)
+    bx0, by0, bx1, by1 = bounds(b)
+    if ax0 > bx1 or bx0 > ax1 or ay0 > by1 or by0 > ay1:
+        return False
+    s, t = _segments(a)[:, None], _segments(b)[None]
+    near = (np.minimum(s[..., 0], s[..., 2]) <= np.maximum(t[..., 0], t[..., 2])) & (np.minimum(t[..., 0], t[..., 2]) <= np.maximum(s[..., 0], s[..., 2]))
+    near &= (np.minimum(s[..., 1], s[..., 3]) <= np.maximum(t[..., 1], t[..., 3])) & (np.minimum(t[..., 1], t[..., 3]) <= np.maximum(s[..., 1], s[..., 3]))
+    i, j = np.nonzero(near)
+    p, q, u, v = s[i, 0, :2], s[i, 0, 2:], t[0, j, :2], t[0, j, 2:]
+    if ((np.sign(_cross(p, q, u)) * np.sign(_cross(p, q, v)) <= 0) & (np.sign(_cross(u, v, p)) * np.sign(_cross(u, v, q)) <= 0)).any():
+        return True
+    return contains(a, *b[0][0][0]) or contains(b, *a[0][0][0])
+
+
+def box_ring(x0: float, y0: float, x1: float, y1: float) -> list[Rings]:
+    return [[np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)], dtype=float)]]
+
+
 def _doubles(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
 
@@ -277,6 +333,41 @@ def wkb_intersection_area(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([None if v is None or w is None else intersection_area(decode(v)[1], decode(w)[1]) for v, w in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
 
 
+def _rows(*columns: pa.Array):  # noqa: ANN202
+    """Rows without nulls, or None."""
+    return (None if any(v is None for v in row) else row for row in zip(*(c.to_pylist() for c in columns), strict=True))
+
+
+@F.arrow_udf(T.BooleanType())
+def wkb_meets_box(g: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    return pa.array([None if r is None else intersects(decode(r[0])[1], box_ring(*r[1:])) for r in _rows(g, x0, y0, x1, y1)], pa.bool_())
+
+
+@F.arrow_udf(T.DoubleType())
+def wkb_area_in_box(g: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    return pa.array([None if r is None else area(clip(decode(r[0])[1], *r[1:])) for r in _rows(g, x0, y0, x1, y1)], pa.float64())
+
+
+@F.arrow_udf(T.DoubleType())
+def wkb_overlap_in_box(a: pa.Array, b: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    def one(r: tuple) -> float:
+        u, v = (clip(decode(w)[1], *r[2:]) for w in r[:2])
+        return intersection_area(u, v) if u and v else 0.0
+
+    return pa.array([None if r is None else one(r) for r in _rows(a, b, x0, y0, x1, y1)], pa.float64())
+
+
+@F.arrow_udf(T.BinaryType())
+def wkb_clip(g: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    """The part inside a box; null if it has no area."""
+
+    def one(r: tuple) -> bytes | None:
+        made = clip(decode(r[0])[1], *r[1:])
+        return encode(made) if made else None
+
+    return pa.array([None if r is None else one(r) for r in _rows(g, x0, y0, x1, y1)], pa.binary())
+
+
 @F.arrow_udf(T.DoubleType())
 def wkb_chamfer(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([None if v is None or w is None else chamfer(decode(v)[1], decode(w)[1]) for v, w in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())

@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreline.functions import codes
+from acreline.functions import codes, geo
+from acreline.operators import denoise
 
 MIN_CROP_YEARS = 2
 
 
-def keyed(stack: DataFrame, n_years: int, general: bool = False, exclude_low: bool = False) -> DataFrame:
+def keyed(stack: DataFrame, n_years: int, general: bool = False, exclude_low: bool = False, noise_px: int = 0) -> DataFrame:
     """Adds ``keys``, ``seq``, ``effective`` and ``attr``, the classes given out.
 
     By default other classes than crops count as barren, and a pixel shows its
     keys; with ``general`` it shows its raw classes where the general class is
-    not 0. Row-wise: no shuffle.
+    not 0. Row-wise, without a shuffle, unless components of at most
+    ``noise_px`` pixels of a year's keys are healed.
     """
     key = codes.general_class if general else lambda v: codes.crop_or_barren(v, exclude_low)
     out = stack.withColumn("keys", F.array(*(key(F.col("cdl")[i]) for i in range(n_years))))
+    out = denoise.heal_noise(out, noise_px, "keys") if noise_px else out
     raw = (lambda i: F.when(F.col("keys")[i] == 0, 0).otherwise(F.col("cdl")[i])) if general else (lambda i: F.col("keys")[i])
     return out.withColumns(
         {
@@ -51,9 +54,24 @@ def without(px: DataFrame, mask: DataFrame) -> DataFrame:
     return px.join(mask.select("tile", "pix").distinct(), ["tile", "pix"], "left_anti")
 
 
-def upsampled(px: DataFrame, k: int, width: int) -> DataFrame:
-    """Every pixel as k x k smaller ones, nearest neighbour; ``width`` is the tile's in pixels."""
+def without_cells(px: DataFrame, cells: DataFrame) -> DataFrame:
+    """Pixels that are not among ``cells(r, c)`` of the whole grid."""
+    return px.join(cells.select("r", "c").distinct(), ["r", "c"], "left_anti")
+
+
+def upsampled(px: DataFrame, k: int, width: int = 1 << 31) -> DataFrame:
+    """Every pixel as k x k smaller ones, nearest neighbour; ``width`` is at least the tile's in pixels."""
     cells = F.expr(f"transform(sequence(0, {k * k - 1}), x -> struct(x div {k} as dr, x % {k} as dc))")
     out = px.withColumn("_d", F.explode(cells))
     r, c = F.col("r") * k + F.col("_d.dr"), F.col("c") * k + F.col("_d.dc")
-    return out.withColumns({"r": r, "c": c}).withColumn("pix", F.col("r") * (width * k) + F.col("c")).drop("_d")
+    return out.withColumns({"r": r, "c": c}).withColumn("pix", F.col("r") * F.lit(width * k).cast("long") + F.col("c")).drop("_d")
+
+
+def edge_cells(edges: DataFrame, pixel: float, origin: tuple[float, float]) -> DataFrame:
+    """``r, c`` of the cells that hold the centre of a set cell of ``edges(lon, lat, value)``, a raster in degrees.
+
+    A cell takes the largest value of the finer cells in it.
+    """
+    x, y = geo.albers(F.col("lon"), F.col("lat"))
+    at = edges.select(F.floor((F.lit(origin[1]) - y) / pixel).alias("r"), F.floor((x - F.lit(origin[0])) / pixel).alias("c"), "value")
+    return at.groupBy("r", "c").agg(F.max("value").alias("_most")).where("_most > 0").select("r", "c")

@@ -1,20 +1,22 @@
 """Scoring one coverage against another.
 
 Both sides are tables ``id, xmin, ymin, xmax, ymax, area`` and, for classes,
-``cls``. The area of an intersection is a column over ``a`` and ``b``: that of
-the boxes by default, or a kernel's over the two geometries. Unions are never
+``cls``. What a row covers is a ``Cover``: its box by default, its ``geometry``
+with SHAPES, for which areas and what touches a window are exact. Unions are never
 built: their area is A + B - I, which holds if neither side overlaps itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acreline.functions import geometry as g
 from acreline.functions.codes import ACRE_M2
-from acreline.functions.geo import GRID_LEFT, GRID_PIXEL, GRID_TOP, box_overlap
+from acreline.functions.geo import GRID_LEFT, GRID_PIXEL, GRID_TOP, bbox_filter
 from acreline.operators.spatialjoin import box_join
 
 CELL = 500.0
@@ -28,11 +30,52 @@ REGIONS = [
     ("northern_plains_nd", -150000, 2700000), ("wisconsin_mixed", 200000, 2400000), ("ohio_corn_soy", 950000, 2100000), ("delmarva", 1700000, 1900000),
 ]
 
-Overlap = Callable[[], Column]
 
 
-def _boxes() -> Column:
-    return box_overlap("a", "b")
+@dataclass(frozen=True)
+class Cover:
+    """Columns over rows (structs with a box and, for shapes, ``geometry``) and windows (structs with a box)."""
+
+    overlap: Callable[[str, str], Column]
+    meets: Callable[[str, str], Column]
+    area_in: Callable[[str, str], Column]
+    overlap_in: Callable[[str, str, str], Column]
+    clipped: Callable[[DataFrame, tuple[float, float, float, float]], DataFrame]
+
+
+def _sides(*names: str) -> Column:
+    """Area of the intersection of boxes."""
+    far = lambda lo, hi: F.greatest(F.least(*(F.col(f"{n}.{hi}") for n in names)) - F.greatest(*(F.col(f"{n}.{lo}") for n in names)), F.lit(0))
+    return far("xmin", "xmax") * far("ymin", "ymax")
+
+
+def _touching(a: str, b: str) -> Column:
+    return (F.col(f"{a}.xmin") <= F.col(f"{b}.xmax")) & (F.col(f"{a}.xmax") >= F.col(f"{b}.xmin")) & (F.col(f"{a}.ymin") <= F.col(f"{b}.ymax")) & (F.col(f"{a}.ymax") >= F.col(f"{b}.ymin"))
+
+
+def _cut_boxes(side: DataFrame, window: tuple[float, float, float, float]) -> DataFrame:
+    x0, y0, x1, y1 = window
+    cut = side.where(bbox_filter(*window)).withColumns({"xmin": F.greatest("xmin", F.lit(x0)), "ymin": F.greatest("ymin", F.lit(y0)), "xmax": F.least("xmax", F.lit(x1)), "ymax": F.least("ymax", F.lit(y1))})
+    return cut.withColumn("area", (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).where("area > 0")
+
+
+def _cut_shapes(side: DataFrame, window: tuple[float, float, float, float]) -> DataFrame:
+    cut = side.where(bbox_filter(*window)).withColumn("geometry", g.wkb_clip("geometry", *map(F.lit, window))).where("geometry is not null")
+    return cut.drop("xmin", "ymin", "xmax", "ymax").withColumns({"area": g.wkb_area("geometry"), "_b": g.wkb_bounds("geometry")}).select("*", "_b.*").drop("_b")
+
+
+def _corners(w: str) -> list[Column]:
+    return [F.col(f"{w}.{c}") for c in ("xmin", "ymin", "xmax", "ymax")]
+
+
+BOXES = Cover(_sides, _touching, _sides, _sides, _cut_boxes)
+SHAPES = Cover(
+    lambda a, b: g.wkb_intersection_area(f"{a}.geometry", f"{b}.geometry"),
+    lambda a, w: g.wkb_meets_box(f"{a}.geometry", *_corners(w)),
+    lambda a, w: g.wkb_area_in_box(f"{a}.geometry", *_corners(w)),
+    lambda a, b, w: g.wkb_overlap_in_box(f"{a}.geometry", f"{b}.geometry", *_corners(w)),
+    _cut_shapes,
+)
 
 
 def region_window(x: Column, y: Column, tile_size: int = 5000) -> dict[str, Column]:
@@ -44,35 +87,31 @@ def region_window(x: Column, y: Column, tile_size: int = 5000) -> dict[str, Colu
     return {"xmin": xmin, "ymin": ymax - side, "xmax": xmin + side, "ymax": ymax}
 
 
-def _of_window(side: DataFrame, windows: DataFrame, cell: float, count: str, acres: str, km2: str) -> DataFrame:
+def _of_window(side: DataFrame, windows: DataFrame, cover: Cover, cell: float, count: str, acres: str, km2: str) -> DataFrame:
     """Rows, whole acres and clipped area of what touches each window."""
-    met = box_join(windows, side, cell)
+    met = box_join(windows, side, cell).where(cover.meets("b", "a"))
     return met.groupBy(F.col("a.region").alias("region")).agg(
-        F.count("*").alias(count), (F.sum("b.area") / ACRE_M2).alias(acres), (F.sum(box_overlap("a", "b")) / 1e6).alias(km2)
+        F.count("*").alias(count), (F.sum("b.area") / ACRE_M2).alias(acres), (F.sum(cover.area_in("b", "a")) / 1e6).alias(km2)
     )
 
 
-def window_parity(ours: DataFrame, truth: DataFrame, windows: DataFrame, overlap: Overlap = _boxes, clip_intersection: bool = False, cell: float = CELL) -> DataFrame:
+def window_parity(ours: DataFrame, truth: DataFrame, windows: DataFrame, cover: Cover = BOXES, clip_intersection: bool = False, cell: float = CELL) -> DataFrame:
     """One row per window of ``windows(region, xmin, ymin, xmax, ymax)``, all in one pass.
 
-    Areas are clipped to the window; by default the intersection is not. A
-    window that one side does not touch has null measures. ``overlap`` gives
-    the clipped area too if it is a kernel over clipped geometries.
+    Areas are clipped to the window; the intersection is with
+    ``clip_intersection`` only. A window that one side does not touch has null
+    measures.
     """
-    a = _of_window(ours, windows, cell, "n_ours", "acres_ours", "km2_ours")
-    b = _of_window(truth, windows, cell, "n_truth", "acres_truth", "km2_truth")
-    pairs = box_join(ours, truth, cell).where(overlap() > 0)
-    inner = [F.greatest(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in ("xmin", "ymin")] + [F.least(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in ("xmax", "ymax")]
-    # a pair counts for the windows that both of its rows touch
-    pairs = pairs.select("a", "b", overlap().alias("inter"), *inner)
-    whole = pairs.select(F.struct("a", "b").alias("pair"), "inter", *(f"a.{c}" for c in ("xmin", "ymin", "xmax", "ymax")), *(F.col(f"b.{c}").alias(f"b_{c}") for c in ("xmin", "ymin", "xmax", "ymax")), *(F.col(c).alias(f"i_{c}") for c in ("xmin", "ymin", "xmax", "ymax")))
-    met = box_join(windows, whole, cell)
-    both = (F.col("b.b_xmin") <= F.col("a.xmax")) & (F.col("b.b_xmax") >= F.col("a.xmin")) & (F.col("b.b_ymin") <= F.col("a.ymax")) & (F.col("b.b_ymax") >= F.col("a.ymin"))
-    area = F.col("b.inter")
-    if clip_intersection:
-        side = lambda lo, hi: F.greatest(F.least(F.col(f"b.i_{hi}"), F.col(f"a.{hi}")) - F.greatest(F.col(f"b.i_{lo}"), F.col(f"a.{lo}")), F.lit(0))
-        area = side("xmin", "xmax") * side("ymin", "ymax")
-    i = met.where(both).groupBy(F.col("a.region").alias("region")).agg((F.sum(area) / 1e6).alias("_i"))
+    a = _of_window(ours, windows, cover, cell, "n_ours", "acres_ours", "km2_ours")
+    b = _of_window(truth, windows, cover, cell, "n_truth", "acres_truth", "km2_truth")
+    pairs = box_join(ours, truth, cell).withColumn("inter", cover.overlap("a", "b")).where("inter > 0")
+    # a pair counts for the windows that both of its rows touch; it is looked for where their boxes meet or lie beside each other
+    outer = [F.least(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in ("xmin", "ymin")] + [F.greatest(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in ("xmax", "ymax")]
+    whole = pairs.select(F.col("a").alias("first"), F.col("b").alias("second"), "inter", *outer)
+    met = box_join(windows, whole, cell).select("a", "b.first", "b.second", "b.inter")
+    met = met.where(_touching("first", "a") & _touching("second", "a")).where(cover.meets("first", "a") & cover.meets("second", "a"))
+    area = cover.overlap_in("first", "second", "a") if clip_intersection else F.col("inter")
+    i = met.groupBy(F.col("a.region").alias("region")).agg((F.sum(area) / 1e6).alias("_i"))
     out = windows.select("region").join(a, "region", "left").join(b, "region", "left").join(i, "region", "left")
     return _measures(out)
 
@@ -92,40 +131,32 @@ def _measures(out: DataFrame) -> DataFrame:
     )
 
 
-def whole_parity(ours: DataFrame, truth: DataFrame, overlap: Overlap = _boxes, cell: float = CELL) -> DataFrame:
+def whole_parity(ours: DataFrame, truth: DataFrame, cover: Cover = BOXES, cell: float = CELL) -> DataFrame:
     """window_parity over everything, nothing clipped."""
     one = lambda s, n, acres, km2: s.agg(F.count("*").alias(n), (F.sum("area") / ACRE_M2).alias(acres), (F.sum("area") / 1e6).alias(km2)).withColumn("region", F.lit("all"))
-    i = box_join(ours, truth, cell).agg((F.sum(overlap()) / 1e6).alias("_i")).withColumn("region", F.lit("all"))
+    i = box_join(ours, truth, cell).agg((F.sum(cover.overlap("a", "b")) / 1e6).alias("_i")).withColumn("region", F.lit("all"))
     return _measures(one(ours, "n_ours", "acres_ours", "km2_ours").join(one(truth, "n_truth", "acres_truth", "km2_truth"), "region").join(i, "region"))
 
 
-def confusion(ours: DataFrame, truth: DataFrame, overlap: Overlap = _boxes, cell: float = CELL) -> DataFrame:
+def confusion(ours: DataFrame, truth: DataFrame, cover: Cover = BOXES, cell: float = CELL) -> DataFrame:
     """``ours, truth, km2`` of every pair of classes that overlap."""
-    pairs = box_join(ours, truth, cell).withColumn("_i", overlap()).where("_i > 0")
+    pairs = box_join(ours, truth, cell).withColumn("_i", cover.overlap("a", "b")).where("_i > 0")
     return pairs.groupBy(F.col("a.cls").alias("ours"), F.col("b.cls").alias("truth")).agg((F.sum("_i") / 1e6).alias("km2"))
 
 
-def best_match(ours: DataFrame, truth: DataFrame, window: tuple[float, float, float, float] | None = None, overlap: Overlap = _boxes, cell: float = CELL) -> DataFrame:
+def best_match(ours: DataFrame, truth: DataFrame, window: tuple[float, float, float, float] | None = None, cover: Cover = BOXES, cell: float = CELL) -> DataFrame:
     """Each truth row's IoU with the row of ours that overlaps it most; 0 where none does.
 
-    With a window all boxes are clipped to it first.
+    With a window all rows are clipped to it first.
     """
     if window:
-        ours, truth = (_clip(s, window) for s in (ours, truth))
-    pairs = box_join(ours, truth, cell).withColumn("_i", overlap()).where("_i > 0")
+        ours, truth = (cover.clipped(s, window) for s in (ours, truth))
+    pairs = box_join(ours, truth, cell).withColumn("_i", cover.overlap("a", "b")).where("_i > 0")
     best = pairs.groupBy(F.col("b.id").alias("id")).agg(F.min_by(F.struct("a.id", "a.area", "_i"), F.struct(-F.col("_i"), F.col("a.id"))).alias("m"))
     out = truth.join(best, "id", "left")
     return out.select("id", F.col("m.id").alias("match"), F.coalesce(F.col("m._i") / (F.col("area") + F.col("m.area") - F.col("m._i")), F.lit(0.0)).alias("iou"))
 
 
-def _clip(side: DataFrame, window: tuple[float, float, float, float]) -> DataFrame:
-    from acreline.functions.geo import bbox_filter
-
-    x0, y0, x1, y1 = window
-    cut = side.where(bbox_filter(*window)).withColumns({"xmin": F.greatest("xmin", F.lit(x0)), "ymin": F.greatest("ymin", F.lit(y0)), "xmax": F.least("xmax", F.lit(x1)), "ymax": F.least("ymax", F.lit(y1))})
-    return cut.withColumn("area", (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).where("area > 0")
-
-
 def match_summary(matches: DataFrame) -> DataFrame:
     """Median and mean over matched rows; shares over all."""
     some = F.when(F.col("iou") > 0, F.col("iou"))
@@ -137,9 +168,9 @@ def match_summary(matches: DataFrame) -> DataFrame:
     )
 
 
-def pairwise_iou(ours: DataFrame, truth: DataFrame, overlap: Overlap = _boxes, cell: float = CELL) -> DataFrame:
+def pairwise_iou(ours: DataFrame, truth: DataFrame, cover: Cover = BOXES, cell: float = CELL) -> DataFrame:
     """``ours, truth, iou`` of all pairs that overlap."""
-    pairs = box_join(ours, truth, cell).withColumn("_i", overlap()).where("_i > 0")
+    pairs = box_join(ours, truth, cell).withColumn("_i", cover.overlap("a", "b")).where("_i > 0")
     return pairs.select(F.col("a.id").alias("ours"), F.col("b.id").alias("truth"), (F.col("_i") / (F.col("a.area") + F.col("b.area") - F.col("_i"))).alias("iou"))
 
 
@@ -178,26 +209,34 @@ def quartiles(df: DataFrame, column: str) -> DataFrame:
     return df.agg(q.alias("_q"), F.min(column).alias("min"), F.max(column).alias("max")).select(F.col("_q")[1].alias("median"), F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"), "min", "max")
 
 
-def overlay_areas(ours: DataFrame, truth: DataFrame, overlap: Overlap = _boxes, cell: float = CELL) -> DataFrame:
+def overlay_areas(ours: DataFrame, truth: DataFrame, cover: Cover = BOXES, cell: float = CELL) -> DataFrame:
     """``km2_both, km2_union, km2_difference`` of two coverages, without building either geometry."""
     one = lambda s, n: s.agg(F.coalesce(F.sum("area"), F.lit(0.0)).alias(n)).withColumn("_k", F.lit(1))
-    i = box_join(ours, truth, cell).agg(F.coalesce(F.sum(overlap()), F.lit(0.0)).alias("_i")).withColumn("_k", F.lit(1))
+    i = box_join(ours, truth, cell).agg(F.coalesce(F.sum(cover.overlap("a", "b")), F.lit(0.0)).alias("_i")).withColumn("_k", F.lit(1))
     met = one(ours, "_a").join(one(truth, "_b"), "_k").join(i, "_k")
     both = F.col("_a") + F.col("_b")
     return met.select((F.col("_i") / 1e6).alias("km2_both"), ((both - F.col("_i")) / 1e6).alias("km2_union"), ((both - 2 * F.col("_i")) / 1e6).alias("km2_difference"))
 
 
-def tile_parity(ours: DataFrame, truth: DataFrame, windows: DataFrame, overlap: Overlap = _boxes, cell: float = CELL) -> DataFrame:
+def tile_parity(ours: DataFrame, truth: DataFrame, windows: DataFrame, cover: Cover = BOXES, cell: float = CELL) -> DataFrame:
     """window_parity with both sides clipped, and the acres that only one side covers."""
-    out = window_parity(ours, truth, windows, overlap, clip_intersection=True, cell=cell)
+    out = window_parity(ours, truth, windows, cover, clip_intersection=True, cell=cell)
     only = lambda c: (F.col(c) - F.col("km2_both")) * 1e6 / ACRE_M2
     return out.withColumns({"only_ours_acres": only("km2_ours"), "only_truth_acres": only("km2_truth")})
 
 
-def chamfer_summary(pairs: DataFrame, distance: Column, max_pairs: int = 20_000) -> DataFrame:
-    """Mean and 95th percentile of ``distance`` over at most ``max_pairs`` of ``pairs(ours, truth, ...)``.
+def chamfer_summary(pairs: DataFrame, distance: Column, max_pairs: int | None = None) -> DataFrame:
+    """Mean and 95th percentile of ``distance`` over ``pairs(ours, truth, ...)``.
 
-    The sample is the first by a hash of the ids: the same for every run.
+    All of them, or a sample of ``max_pairs``: the first by a hash of the ids,
+    the same for every run.
     """
-    some = pairs.orderBy(F.xxhash64("ours", "truth"), "ours", "truth").limit(max_pairs).select(distance.alias("_d"))
-    return some.agg(F.count("_d").alias("n"), F.avg("_d").alias("mean_m"), F.percentile("_d", F.lit(0.95)).alias("p95_m"))
+    if max_pairs is not None:
+        pairs = pairs.orderBy(F.xxhash64("ours", "truth"), "ours", "truth").limit(max_pairs)
+    return pairs.select(distance.alias("_d")).agg(F.count("_d").alias("n"), F.avg("_d").alias("mean_m"), F.percentile("_d", F.lit(0.95)).alias("p95_m"))
+
+
+def matched_pairs(ours: DataFrame, truth: DataFrame, ious: DataFrame, least: float = 0.5) -> DataFrame:
+    """``ours, truth, iou, ours_geometry, truth_geometry`` of the pairs above an IoU."""
+    of = lambda s, n: s.select(F.col("id").alias(n), F.col("geometry").alias(f"{n}_geometry"))
+    return ious.where(F.col("iou") > least).join(of(ours, "ours"), "ours").join(of(truth, "truth"), "truth")

@@ -140,10 +140,8 @@ def write_flatgeobuf(df: DataFrame, path: str, name: str = "fields") -> int:
 EXTENT, BUFFER = 4096, 64
 MAX_LAT = 85.0511287798
 ZOOMS = (4, 12)
-#: Smallest box of a feature, in square units of a tile's extent.
+#: Smallest box of a feature in an overview, in square units of a tile's extent. The last zoom has all features.
 LEAST_UNITS = 16.0
-#: Features of one tile; where more meet, the largest stay, as overviews have to leave something out.
-MOST = 1_000_000
 
 
 def mercator(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,8 +227,11 @@ def _tag_value(v: object) -> bytes:
     return _field(1, str(v).encode())
 
 
-def encode_tile(z: int, x: int, y: int, shapes: list[bytes], rows: list[dict], layer: str) -> bytes:
-    """A vector tile of version 2 with one layer; empty if no shape is left in it."""
+def encode_tile(z: int, x: int, y: int, shapes: list[bytes], rows: list[dict], layer: str, dots: bool = False) -> bytes:
+    """A vector tile of version 2 with one layer; empty if no shape is left in it.
+
+    With ``dots`` a shape without area on the tile's grid is a unit square where its middle is.
+    """
     keys: dict[str, int] = {}
     values: dict[bytes, int] = {}
     features = []
@@ -239,6 +240,11 @@ def encode_tile(z: int, x: int, y: int, shapes: list[bytes], rows: list[dict], l
         for rings in g.decode(wkb)[1]:
             placed.append([np.stack([(u * 2**z - x) * EXTENT, (v * 2**z - y) * EXTENT], axis=1) for u, v in (mercator(r[:, 0], r[:, 1]) for r in rings)])
         geometry = _commands(placed)
+        if dots and not geometry:
+            low, high = np.split(np.array(g.bounds(placed)), 2)
+            at = np.floor((low + high) / 2).astype(np.int64)
+            if (at >= 0).all() and (at < EXTENT).all():
+                geometry = [9, int(at[0]) << 1, int(at[1]) << 1, 26, 2, 0, 0, 2, 1, 0, 15]
         if geometry:
             tags = b"".join(_varint(keys.setdefault(k, len(keys))) + _varint(values.setdefault(_tag_value(v), len(values))) for k, v in row.items() if v is not None)
             features.append(_field(2, tags) + b"\x18\x03" + _field(4, b"".join(map(_varint, geometry))))
@@ -249,11 +255,12 @@ def encode_tile(z: int, x: int, y: int, shapes: list[bytes], rows: list[dict], l
     return _field(3, body)
 
 
-def in_tiles(df: DataFrame, zooms: tuple[int, int] = ZOOMS, most: int = MOST) -> DataFrame:
+def in_tiles(df: DataFrame, zooms: tuple[int, int] = ZOOMS, most: int | None = None, least_units: float = LEAST_UNITS) -> DataFrame:
     """``z, x, y`` beside the columns of shapes in degrees, a row for each tile that a shape's box touches.
 
-    At each zoom a shape smaller than LEAST_UNITS is left out, and a tile
-    keeps its ``most`` largest (``_k`` is their order).
+    The last zoom has every shape. In overviews a shape smaller than
+    ``least_units`` is left out and, with ``most``, a tile keeps its largest.
+    ``_k`` is their order.
     """
     boxed = df.where("geometry is not null").withColumn("_b", g.wkb_bounds("geometry"))
     world = lambda lat: (1 - F.asinh(F.tan(F.radians(F.greatest(F.least(lat, F.lit(MAX_LAT)), F.lit(-MAX_LAT))))) / math.pi) / 2
@@ -262,20 +269,25 @@ def in_tiles(df: DataFrame, zooms: tuple[int, int] = ZOOMS, most: int = MOST) ->
     side = F.pow(F.lit(2.0), F.col("z"))
     slack = BUFFER / EXTENT
     cells = lambda lo, hi: F.sequence(*(F.least(F.greatest(F.floor(F.col(c) * side + d), F.lit(0)), side - 1).cast("long") for c, d in ((lo, -slack), (hi, slack))))
-    seen = boxed.where(F.col("_size") * side * side * EXTENT * EXTENT >= LEAST_UNITS)
+    seen = boxed.where((F.col("_size") * side * side * EXTENT * EXTENT >= least_units) | (F.col("z") == zooms[1]))
     seen = seen.withColumn("x", F.explode(cells("_x0", "_x1"))).withColumn("y", F.explode(cells("_y0", "_y1")))
     order = F.row_number().over(Window.partitionBy("z", "x", "y").orderBy(F.desc("_size"), F.xxhash64("geometry")))
-    return seen.withColumn("_k", order).where(F.col("_k") <= most).select("z", "x", "y", "_k", *df.columns)
+    seen = seen.withColumn("_k", order)
+    seen = seen if most is None else seen.where((F.col("_k") <= most) | (F.col("z") == zooms[1]))
+    return seen.select("z", "x", "y", "_k", *df.columns)
 
 
-def tiles(df: DataFrame, attributes: list[str], zooms: tuple[int, int] = ZOOMS, layer: str = "fields", most: int = MOST) -> DataFrame:
-    """``tile_id, z, x, y, data`` (gzipped) of all tiles that shapes in degrees touch; no task holds more than ``most`` of them."""
-    seen = in_tiles(df.select(*attributes, "geometry"), zooms, most)
+def tiles(df: DataFrame, attributes: list[str], zooms: tuple[int, int] = ZOOMS, layer: str = "fields", most: int | None = None, least_units: float = LEAST_UNITS) -> DataFrame:
+    """``tile_id, z, x, y, data`` (gzipped) of all tiles that shapes in degrees touch.
+
+    A shape that is too small to draw in the last zoom is a unit square there.
+    """
+    seen = in_tiles(df.select(*attributes, "geometry"), zooms, most, least_units)
 
     def encode(table: pa.Table) -> pa.Table:
         table = table.sort_by("_k")
         z, x, y = (table.column(c)[0].as_py() for c in ("z", "x", "y"))
-        data = encode_tile(z, x, y, table.column("geometry").to_pylist(), table.select(attributes).to_pylist(), layer)
+        data = encode_tile(z, x, y, table.column("geometry").to_pylist(), table.select(attributes).to_pylist(), layer, z == zooms[1])
         some = [gzip.compress(data, 6, mtime=0)] if data else []
         k = len(some)
         return pa.table([pa.array([tile_id(z, x, y)] * k, pa.int64()), pa.array([z] * k, pa.int32()), pa.array([x] * k, pa.int64()), pa.array([y] * k, pa.int64()), pa.array(some, pa.binary())], ["tile_id", "z", "x", "y", "data"])

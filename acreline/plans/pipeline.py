@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acreline.functions import codes
-from acreline.operators import combine, enrich, regions, sinks, vector
+from acreline.operators import combine, denoise, enrich, regions, sinks, vector
 from acreline.runtime import stored
 
 
@@ -26,22 +26,40 @@ class Params:
     dissolve: bool = True
     pixel_m: float = codes.PIXEL_M
     origin: tuple[float, float] = field(default=(0.0, 0.0))
+    focal_radius: int = 0  # rounds of the focal filter on each year's classes
+    noise_px: int = 0  # components of a year's keys that are healed
+    upsample: int = 1  # smaller pixels a side, after the filters
+    line_buffer: float = 15.0  # metres around the lines that are burned out
 
     @property
     def years(self) -> tuple[int, ...]:
         return tuple(range(self.start, self.end + 1))
 
 
-def polygonize(stack: DataFrame, p: Params, mask: DataFrame | None = None) -> DataFrame:
+def keyed_pixels(stack: DataFrame, p: Params) -> DataFrame:
+    """Years combined: focal filter, classes to keys, noise filter, smaller pixels, in this order."""
+    if p.focal_radius:
+        stack = denoise.focal_smooth(stack, p.focal_radius, column="cdl")
+    px = combine.keyed(stack, len(p.years), p.general, p.exclude_low, p.noise_px)
+    return combine.upsampled(px, p.upsample) if p.upsample > 1 else px
+
+
+def polygonize(stack: DataFrame, p: Params, mask: DataFrame | None = None, lines: DataFrame | None = None, edges: DataFrame | None = None) -> DataFrame:
     """``tile, label, geometry, area_sqm, effective_count, CDL{year}...`` of a stack of pixels.
 
-    ``mask(tile, pix)`` is taken out before labelling. Tiles where nothing is
-    left have no rows.
+    Before labelling are taken out: ``mask(tile, pix)``, the pixels that
+    ``lines(geometry)`` touch, and those of ``edges(lon, lat, value)``, a
+    raster in degrees. Tiles where nothing is left have no rows.
     """
-    n, area = len(p.years), p.pixel_m * p.pixel_m
-    px = combine.keyed(stack, n, p.general, p.exclude_low)
+    pixel = p.pixel_m / p.upsample
+    area = pixel * pixel
+    px = keyed_pixels(stack, p)
+    if p.focal_radius or p.noise_px:
+        px = stored(px, "keyed")
     kept = combine.retained(px, 1 if p.by_region else p.min_years)
     kept = kept if mask is None else combine.without(kept, mask)
+    kept = kept if lines is None else combine.without_cells(kept, vector.burned(lines, pixel, p.origin, p.line_buffer))
+    kept = kept if edges is None else combine.without_cells(kept, combine.edge_cells(edges, pixel, p.origin))
     labels = stored(regions.components(kept.drop("cdl", "keys", "attr")), "labels")
     table = regions.region_table(labels)
     if p.by_region:
@@ -55,7 +73,7 @@ def polygonize(stack: DataFrame, p: Params, mask: DataFrame | None = None) -> Da
         steps.append(same)
     large = stored(regions.keep_large(table, p.min_area, area), "large")
     final = regions.relabelled(labels, *steps).join(large.select("tile", "label"), ["tile", "label"], "left_semi")
-    shapes = vector.outlines(final, p.pixel_m, p.origin, p.tolerance).where(F.col("area_sqm") >= p.min_area)
+    shapes = vector.outlines(final, pixel, p.origin, p.tolerance).where(F.col("area_sqm") >= p.min_area)
     attr = px.select("tile", F.col("pix").alias("first_pix"), "attr")
     shown = large.join(attr, ["tile", "first_pix"]).select("tile", "label", F.col("effective").alias("effective_count"), *(F.col("attr")[i].alias(f"CDL{y}") for i, y in enumerate(p.years)))
     return shapes.join(shown, ["tile", "label"])

@@ -229,6 +229,23 @@ def focal_mode(spark: SparkSession, d: str) -> DataFrame:
     return denoise.focal_mode(one_year(spark, d), 1).select("pix", "v")
 
 
+_KEYS = o.PIXELS + f""", v as (select pix + (yr - 2018) * 10000000 pix, r, c, coalesce(general, 0) v from py left join (values {_values}) t(code, general) on code = cdl), nz as (select * from v where v <> 0)""" + o.components("nz", "v", "cc") + ", sz as (select *, count(*) over (partition by label) size from cc)"
+
+
+@query(
+    o.sql(
+        _KEYS + """, noise as (select * from sz where size <= 2), clean as (select * from v where pix not in (select pix from noise)),
+        near as (select n.pix, arg_min(k.v, ((k.r - n.r) * (k.r - n.r) + (k.c - n.c) * (k.c - n.c)) * 1e9 + k.r * 1000 + k.c) nv from noise n join (select * from range(-9, 10) t(dr)) o on true
+          join clean k on k.r = n.r + o.dr and abs(k.c - n.c) <= 9 and k.pix // 10000000 = n.pix // 10000000 group by n.pix)""",
+        "select v.pix % 10000000 as pix, string_agg(coalesce(nv, v.v)::varchar, ',' order by v.pix) seq, count(*) filter (coalesce(nv, v.v) > 0) - count(*) filter (coalesce(nv, v.v) = 45) effective from v left join near using (pix) group by 1",
+    )
+)
+def record_keys(spark: SparkSession, d: str) -> DataFrame:
+    """General classes with the noise of every year healed before the years are combined."""
+    got = combine.keyed(pixels.demo_stack(spark, d), N, general=True, noise_px=2).withColumn("back", codes.unpack(F.col("seq"), N))
+    return got.select("pix", text("back").alias("seq"), F.col("effective").cast("long").alias("effective"))
+
+
 def _focal_round(i: int) -> str:
     """v{i + 1} from v{i}: radius 2, components of fewer than 5 pixels."""
     return f""",

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from acreline.functions import geometry as geo
 from acreline.operators import vector
 from acreline.plans import oracle as o
-from acreline.plans.coverage_queries import ours, truth
+from acreline.operators import combine, evaluate
+from acreline.plans.coverage_queries import BOXES, _MEASURES, _rounded, ours, truth, windows
 from acreline.plans.queries import labelled, query
 from acreline.runtime import stored
 
@@ -91,7 +92,7 @@ def burn_lines(spark: SparkSession, d: str) -> DataFrame:
     """with b as (select -125 + (o_orderkey * 37 % 5800) / 100.0::double x0, 24 + (o_custkey * 17 % 2500) / 100.0::double y0, (o_orderkey % 10 + 1) / 100.0::double s from orders),
 m as (select (x0 + 180) / 360 x0, (x0 + s + 180) / 360 x1, (1 - asinh(tan(radians(y0 + s))) / pi()) / 2 y0, (1 - asinh(tan(radians(y0))) / pi()) / 2 y1 from b),
 p as (select m.*, z, power(2.0::double, z) n from m, range(4, 9) t(z)),
-q as (select * from p where (x1 - x0) * (y1 - y0) * n * n * 4096 * 4096 >= 16)
+q as (select * from p where (x1 - x0) * (y1 - y0) * n * n * 4096 * 4096 >= 16 or z = 8)
 select z::int z, x, y, count(*) n from q, unnest(range(floor(x0 * n - 1 / 64.0::double)::bigint, floor(x1 * n + 1 / 64.0::double)::bigint + 1)) a(x),
  unnest(range(floor(y0 * n - 1 / 64.0::double)::bigint, floor(y1 * n + 1 / 64.0::double)::bigint + 1)) c(y) group by all"""
 )
@@ -102,19 +103,19 @@ def map_tile_assignment(spark: SparkSession, d: str) -> DataFrame:
     o = spark.read.parquet(f"{d}/orders.parquet")
     corner = o.select((-125 + (F.col("o_orderkey") * 37 % 5800) / 100.0).alias("xmin"), (24 + (F.col("o_custkey") * 17 % 2500) / 100.0).alias("ymin"), ((F.col("o_orderkey") % 10 + 1) / 100.0).alias("s"))
     boxes = _box_wkb(corner.withColumns({"xmax": F.col("xmin") + F.col("s"), "ymax": F.col("ymin") + F.col("s")}))
-    return in_tiles(boxes.select("geometry"), (4, 8), 1_000_000).groupBy("z", "x", "y").agg(F.count("*").alias("n"))
+    return in_tiles(boxes.select("geometry"), (4, 8)).groupBy("z", "x", "y").agg(F.count("*").alias("n"))
 
 
 @query(
     """with b as (select -125 + (o_orderkey * 37 % 5800) / 100.0::double x0, 24 + (o_custkey * 17 % 2500) / 100.0::double y0, (o_orderkey % 10 + 1) / 100.0::double s from orders),
 m as (select (x0 + 180) / 360 x0, (x0 + s + 180) / 360 x1, (1 - asinh(tan(radians(y0 + s))) / pi()) / 2 y0, (1 - asinh(tan(radians(y0))) / pi()) / 2 y1 from b),
 p as (select m.*, z, power(2.0::double, z) n from m, range(4, 13) t(z)),
-q as (select * from p where (x1 - x0) * (y1 - y0) * n * n * 4096 * 4096 >= 16)
-select z::int z, x, y, least(count(*), 1000000) n from q, unnest(range(floor(x0 * n - 1 / 64.0::double)::bigint, floor(x1 * n + 1 / 64.0::double)::bigint + 1)) a(x),
+q as (select * from p where (x1 - x0) * (y1 - y0) * n * n * 4096 * 4096 >= 16 or z = 12)
+select z::int z, x, y, count(*) n from q, unnest(range(floor(x0 * n - 1 / 64.0::double)::bigint, floor(x1 * n + 1 / 64.0::double)::bigint + 1)) a(x),
  unnest(range(floor(y0 * n - 1 / 64.0::double)::bigint, floor(y1 * n + 1 / 64.0::double)::bigint + 1)) c(y) group by all"""
 )
 def map_tile_assignment_all(spark: SparkSession, d: str) -> DataFrame:
-    """The same at the default zooms and the default number of shapes of a tile."""
+    """The same at the default zooms."""
     from acreline.operators.mapfiles import in_tiles
 
     o = spark.read.parquet(f"{d}/orders.parquet")
@@ -130,3 +131,109 @@ def map_tiles(spark: SparkSession, d: str) -> DataFrame:
 
     moved = shapes(spark, d).select("label", geo.wkb_lon_lat("geometry").alias("geometry"))
     return tiles(moved, ["label"], (4, 12)).select("tile_id", "z", "x", "y", (F.octet_length("data") > 0).alias("some"))
+
+
+# --- shapes that are not boxes: each box without its upper right quarter
+
+
+def _notched(side: DataFrame) -> DataFrame:
+    @F.arrow_udf("binary")
+    def make(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+        rows = zip(*(v.to_pylist() for v in (x0, y0, x1, y1)), strict=True)
+        return pa.array([geo.encode_polygon([np.array([(a, b), (c, b), (c, (b + e) / 2), ((a + c) / 2, (b + e) / 2), ((a + c) / 2, e), (a, e), (a, b)])]) for a, b, c, e in rows], pa.binary())
+
+    return stored(side.withColumns({"geometry": make("xmin", "ymin", "xmax", "ymax"), "area": F.col("area") * 0.75}), "notched")
+
+
+def _area_sql(*rects: tuple[str, str, str, str]) -> str:
+    side = lambda i: f"greatest(least({', '.join(r[i + 2] for r in rects)}) - greatest({', '.join(r[i] for r in rects)}), 0)"
+    return f"({side(0)} * {side(1)})"
+
+
+def _rect(t: str) -> tuple[str, str, str, str]:
+    return f"{t}.xmin", f"{t}.ymin", f"{t}.xmax", f"{t}.ymax"
+
+
+def _notch(t: str) -> tuple[str, str, str, str]:
+    return f"({t}.xmin + {t}.xmax) / 2", f"({t}.ymin + {t}.ymax) / 2", f"{t}.xmax", f"{t}.ymax"
+
+
+def _in_sql(t: str, w: str) -> str:
+    return f"({_area_sql(_rect(t), _rect(w))} - {_area_sql(_notch(t), _rect(w))})"
+
+
+def _both_sql(*w: str) -> str:
+    more = [_rect(x) for x in w]
+    return f"({_area_sql(_rect('a'), _rect('b'), *more)} - {_area_sql(_notch('a'), _rect('b'), *more)} - {_area_sql(_rect('a'), _notch('b'), *more)} + {_area_sql(_notch('a'), _notch('b'), *more)})"
+
+
+def _meets_sql(t: str, w: str) -> str:
+    """The lower and the left half of a notched box, one of them."""
+    touch = lambda x1, y1: f"({t}.xmin <= {w}.xmax and {w}.xmin <= {x1} and {t}.ymin <= {w}.ymax and {w}.ymin <= {y1})"
+    return f"({touch(f'{t}.xmax', f'({t}.ymin + {t}.ymax) / 2')} or {touch(f'({t}.xmin + {t}.xmax) / 2', f'{t}.ymax')})"
+
+
+def _shape_parity_sql(clip: bool) -> str:
+    side = lambda s, n: f"(select w.region, count(b.id) n_{n}, coalesce(sum(b.area * 0.75), 0) / 4046.86 acres_{n}, coalesce(sum({_in_sql('b', 'w')}), 0) / 1e6 km2_{n} from win w left join {s} b on {_meets_sql('b', 'w')} group by 1) {n}"
+    return f"""select region, n_ours, n_truth, {_MEASURES} from {side("ours", "ours")} join {side("truth", "truth")} using (region)
+ left join (select w.region, sum({_both_sql("w") if clip else _both_sql()}) / 1e6 i from win w join ours a on {_meets_sql("a", "w")} join truth b on {_meets_sql("b", "w")} and {_both_sql()} > 0 group by 1) using (region)"""
+
+
+@query(o.sql(BOXES, _shape_parity_sql(False)))
+def window_parity_of_shapes(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(evaluate.window_parity(_notched(ours(spark, d)), _notched(truth(spark, d)), windows(spark, d), evaluate.SHAPES))
+
+
+@query(o.sql(BOXES, _shape_parity_sql(True)))
+def window_parity_of_clipped_shapes(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(evaluate.window_parity(_notched(ours(spark, d)), _notched(truth(spark, d)), windows(spark, d), evaluate.SHAPES, clip_intersection=True))
+
+
+@query(
+    o.sql(
+        BOXES + ", z as (select 400 xmin, 50 ymin, 2000 xmax, 1700 ymax)",
+        f"""select t.id, oid as match, round(coalesce(i / (oa + ta - i), 0), 9) iou from (select b.id from truth b, z where {_in_sql("b", "z")} > 0) t left join
+ (select * from (select *, row_number() over (partition by tid order by i desc, oid) k from
+   (select a.id oid, b.id tid, {_in_sql("a", "z")} oa, {_in_sql("b", "z")} ta, {_both_sql("z")} i from ours a, truth b, z) where i > 0) where k = 1) on tid = t.id""",
+    )
+)
+def best_match_of_shapes(spark: SparkSession, d: str) -> DataFrame:
+    got = evaluate.best_match(_notched(ours(spark, d)), _notched(truth(spark, d)), (400.0, 50.0, 2000.0, 1700.0), evaluate.SHAPES)
+    return got.withColumn("iou", F.round("iou", 9))
+
+
+@query(
+    """with l as (select n_nationkey k, 40.0::double * n_nationkey x0, case when n_nationkey % 2 = 0 then 40.0::double * n_nationkey + 700 else 40.0::double * n_nationkey end x1,
+  -13.0::double * n_nationkey - (case when n_nationkey % 2 = 0 then 0 else 500 end) y0, -13.0::double * n_nationkey y1 from nation),
+s as (select *, unnest(range(floor((x0 - 15) / 30)::bigint - 1, floor((x1 + 15) / 30)::bigint + 2)) c from l),
+q as (select *, unnest(range(floor((-y1 - 15) / 30)::bigint - 1, floor((-y0 + 15) / 30)::bigint + 2)) r from s)
+select distinct r, c from q where power(greatest(c * 30 - x1, x0 - (c + 1) * 30, 0), 2) + power(greatest(-(r + 1) * 30 - y1, y0 + r * 30, 0), 2) <= 225"""
+)
+def burn_straight_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Level and upright lines, for which the pixels within a buffer have a closed form."""
+    rows = spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_nationkey").cast("double").alias("k"))
+
+    @F.arrow_udf("binary")
+    def line(k: pa.Array) -> pa.Array:
+        ends = lambda v: [(40 * v, -13 * v), (40 * v + 700, -13 * v)] if v % 2 == 0 else [(40 * v, -13 * v - 500), (40 * v, -13 * v)]
+        return pa.array([geo.encode_line(np.array(ends(v))) for v in k.to_pylist()], pa.binary())
+
+    return vector.burned(rows.select(line("k").alias("geometry")), buffer=15.0)
+
+
+def _edge_sql() -> str:
+    from acreline.plans.queries import _albers_sql
+
+    prelude = _albers_sql().rsplit("select id, round(", 1)[0]
+    from acreline.functions import geo as plane
+
+    return prelude + f"select floor((3172605 - ({plane.albers_constants()[2]!r} - rho * cos(theta))) / 30000)::bigint r, floor((rho * sin(theta) + 2356095) / 30000)::bigint c from k group by 1, 2 having max(id % 3) > 1"
+
+
+@query(_edge_sql())
+def edge_raster(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of a raster in degrees on a coarser grid in metres, the largest value of each."""
+    rows = spark.read.parquet(f"{d}/orders.parquet").select(
+        (-125 + (F.col("o_orderkey") * 37 % 5800) / F.lit(100.0)).alias("lon"), (24 + (F.col("o_custkey") * 17 % 2500) / F.lit(100.0)).alias("lat"), (F.col("o_orderkey") % 3 - 1).alias("value")
+    )
+    return combine.edge_cells(rows, 30_000.0, (-2356095.0, 3172605.0))

@@ -14,12 +14,13 @@ import urllib.error
 import urllib.request
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from acreline.sources.tables import raster_url, whole_archive
+from acreline.sources.tables import raster_url
 
 ATTEMPTS, PAUSE, WORKERS = 3, 3.0, 8
 
@@ -27,10 +28,11 @@ ATTEMPTS, PAUSE, WORKERS = 3, 3.0, 8
 def fetch(url: str, target: str, attempts: int = ATTEMPTS, pause: float = PAUSE, overwrite: bool = False) -> str:
     """``there``, ``fetched``, ``missing`` (the server has no such file) or ``failed``.
 
-    Archives (``.zip``) are tested; one that is not whole counts as failed.
+    An archive (``.zip``) without its closing directory was cut short and
+    counts as failed; checksums are verified where it is unpacked or read.
     The pause before another attempt grows by ``pause`` each time.
     """
-    sound = lambda p: not target.endswith(".zip") or whole_archive(p)
+    sound = lambda p: not target.endswith(".zip") or zipfile.is_zipfile(p)
     if os.path.exists(target) and not overwrite and sound(target):
         return "there"
     os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
@@ -64,9 +66,13 @@ def unpack(archive: str, folder: str, endings: tuple[str, ...] = ()) -> list[str
         for name in z.namelist():
             if not name.endswith("/") and (not endings or name.lower().endswith(endings)):
                 path = os.path.join(folder, os.path.basename(name))
-                with z.open(name) as source, open(f"{path}.part", "wb") as out:
-                    shutil.copyfileobj(source, out, 1 << 20)
-                os.replace(f"{path}.part", path)
+                try:
+                    with z.open(name) as source, open(f"{path}.part", "wb") as out:
+                        shutil.copyfileobj(source, out, 1 << 20)
+                    os.replace(f"{path}.part", path)
+                finally:
+                    if os.path.exists(f"{path}.part"):
+                        os.remove(f"{path}.part")
                 made.append(path)
     return made
 
@@ -92,7 +98,10 @@ def fetch_rasters(spark: SparkSession, base: str, years: tuple[int, ...], folder
         done = fetched(spark.createDataFrame(rows, "url string, target string"), min(workers, len(rows)), pause=pause, overwrite=overwrite)
         for r in done.collect():  # one row per year
             if r["status"] in ("there", "fetched"):
-                unpack(r["target"], os.path.dirname(r["target"]), (".tif",))
+                try:
+                    unpack(r["target"], os.path.dirname(r["target"]), (".tif",))
+                except (zipfile.BadZipFile, zlib.error):
+                    os.remove(r["target"])  # its checksums are wrong: the next run fetches it again
     return [y for y in years if os.path.exists(f"{place(y)}.tif")]
 
 

@@ -238,8 +238,10 @@ def test_archive_holds_the_shapes(shapes, tmp_path):
 def test_a_crowded_tile_keeps_the_largest(spark):
     rows = [(i, bytearray(g.encode([[square(-100 + i / 100, 40, 0.001 * (i + 1))]]))) for i in range(12)]
     df = spark.createDataFrame(rows, "id long, geometry binary")
-    got = m.tiles(df, ["id"], (6, 6), most=4).collect()
-    assert {r["id"] for t in got for r, _ in decoded(gzip.decompress(t["data"]))} == {8, 9, 10, 11}
+    got = m.tiles(df, ["id"], (6, 7), most=4, least_units=0).collect()
+    ids = lambda z: {r["id"] for t in got if t["z"] == z for r, _ in decoded(gzip.decompress(t["data"]))}
+    assert ids(6) == {8, 9, 10, 11}
+    assert ids(7) == set(range(12))  # the last zoom has all
     assert m.tiles(df.where("false"), ["id"], (4, 6)).count() == 0
 
 

@@ -138,15 +138,59 @@ def test_roads_and_urls(spark):
     assert len(tables.STATES) == 48
 
 
-def test_archive(tmp_path):
-    import zipfile
-
-    good = tmp_path / "a.zip"
-    with zipfile.ZipFile(good, "w") as z:
-        z.writestr("x", "y")
-    bad = tmp_path / "b.zip"
-    bad.write_bytes(b"<html>")
-    assert tables.whole_archive(str(good)) and not tables.whole_archive(str(bad))
+def test_shapes_in_windows(spark):
+    """Triangles, for which boxes are wrong: a triangle meets itself fully, and not the window beside its long side."""
+    ring = np.array([(0, 0), (100, 0), (0, 100), (0, 0)], dtype=float)
+    rows = [(1, bytearray(g.encode([[ring]]))), (2, bytearray(g.encode([[ring + 200]])))]
+    side = vector.with_bounds(spark.createDataFrame(rows, "id long, geometry binary")).withColumn("area", g.wkb_area("geometry"))
+    boxes = [("whole", -10.0, -10.0, 110.0, 110.0), ("beside", 60.0, 60.0, 99.0, 99.0), ("corner", 50.0, 50.0, 90.0, 90.0), ("part", 0.0, 0.0, 50.0, 50.0)]
+    windows = spark.createDataFrame(boxes, "region string, xmin double, ymin double, xmax double, ymax double")
+    for clip in (False, True):
+        got = {r["region"]: r for r in evaluate.window_parity(side, side, windows, evaluate.SHAPES, clip).collect()}
+        assert {k: r["n_ours"] for k, r in got.items()} == {"whole": 1, "beside": 0, "corner": 1, "part": 1}
+        assert got["whole"]["iou"] == pytest.approx(1) and got["beside"]["iou"] is None
+        assert got["part"]["km2_ours"] == pytest.approx(2500e-6)
+        if clip:
+            assert got["part"]["iou"] == pytest.approx(1)
+    found = evaluate.best_match(side, side, (0.0, 0.0, 50.0, 50.0), evaluate.SHAPES).collect()
+    assert [(r["id"], r["match"], r["iou"]) for r in found] == [(1, 1, pytest.approx(1))]
+    assert evaluate.tile_parity(side, side, windows, evaluate.SHAPES).where("region = 'whole'").first()["only_ours_acres"] == pytest.approx(0)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 12), min_size=12, max_size=12))
+def test_polygons_in_boxes(v):
+    a = [[np.array([(v[0], v[1]), (v[2] + 13, v[3]), (v[4], v[5] + 13), (v[0], v[1])], dtype=float)]]
+    x0, y0 = float(v[6]), float(v[7])
+    box = g.box_ring(x0, y0, x0 + v[8] + 1, y0 + v[9] + 1)
+    if not g.signed_area(a[0][0]):
+        return
+    cut = g.clip(a, *g.bounds(box))
+    assert g.area(cut) == pytest.approx(g.intersection_area(a, box), abs=1e-9)
+    if g.intersection_area(a, box) > 1e-9:
+        assert g.intersects(a, box) and g.intersects(box, a)
+    assert g.intersects(a, a) and not g.intersects(a, [[a[0][0] + 100]])
+
+
+def test_record_steps_reach_the_polygons(spark):
+    from acreline.plans import pipeline as p
+
+    a = [[[1, 1]] * 6 + [[5, 5]] * 6 for _ in range(12)]
+    a[3][3] = [24, 1]
+    rows = [("A0", r * 12 + c, r, c, a[r][c]) for r in range(12) for c in range(12)]
+    stack = spark.createDataFrame(rows, "tile string, pix long, r long, c long, cdl array<int>")
+    base = {"start": 2020, "end": 2021, "thresholds": (), "min_area": 0.0, "tolerance": 0.0}
+    areas = lambda made: sorted(r["area_sqm"] for r in made.collect())
+    assert areas(p.polygonize(stack, p.Params(**base))) == [900.0, 71 * 900.0, 72 * 900.0]
+    assert areas(p.polygonize(stack, p.Params(**base, noise_px=2))) == [72 * 900.0] * 2
+    assert areas(p.polygonize(stack, p.Params(**base, focal_radius=1))) == [72 * 900.0] * 2
+    assert areas(p.polygonize(stack, p.Params(**base, noise_px=2, upsample=3))) == [72 * 900.0] * 2
+    line = spark.createDataFrame([(bytearray(g.encode_line(np.array([(-100.0, -165.0), (500.0, -165.0)]))),)], "geometry binary")
+    cut = areas(p.polygonize(stack, p.Params(**base, noise_px=2, line_buffer=10.0), lines=line))
+    assert cut == [30 * 900.0] * 2 + [36 * 900.0] * 2
+    lon, lat = g.lon_lat(np.array([[30 * 6 + 15.0, 3000.0 - 15.0]]))[0]
+    edges = spark.createDataFrame([(float(lon), float(lat), 1), (float(lon), float(lat), 0)], "lon double, lat double, value int")
+    assert areas(p.polygonize(stack, p.Params(**base, noise_px=2, origin=(0.0, 3000.0)), edges=edges)) == [71 * 900.0, 72 * 900.0]
 
 
 def tiff(path, a, deflate=False, rows_per_strip=4):
