@@ -48,11 +48,8 @@ def pack(keys: Column, n_years: int) -> Column:
     """The sequence key of an array of n_years bytes; year i is at bit 8 * i."""
     if not 1 <= n_years <= MAX_YEARS:
         raise ValueError(f"between 1 and {MAX_YEARS} years fit a key, not {n_years}")
-    out = None
-    for i in range(n_years):
-        part = F.shiftleft(keys[i].cast("bigint"), 8 * i)
-        out = part if out is None else out.bitwiseOR(part)
-    return out
+    # from the last year down, one loop: unrolled, the generated method is too long for the JIT compiler
+    return F.aggregate(F.reverse(F.slice(keys, 1, n_years)), F.lit(0).cast("bigint"), lambda seq, key: F.shiftleft(seq, 8).bitwiseOR(key.cast("bigint")))
 
 
 def unpack(seq: Column, n_years: int) -> Column:
@@ -66,10 +63,7 @@ def ordered(seq: Column) -> Column:
 
 def effective(keys: Column, n_years: int, barren: int = BARREN) -> Column:
     """Years with a class less years that are barren."""
-    out = F.lit(0)
-    for i in range(n_years):
-        out = out + F.when(keys[i] == barren, 0).when(keys[i] > 0, 1).otherwise(0)
-    return out
+    return F.size(F.filter(F.slice(keys, 1, n_years), lambda key: (key > 0) & (key != barren)))
 
 
 def shown(value: Column) -> Column:

@@ -20,14 +20,14 @@ def keyed(stack: DataFrame, n_years: int, general: bool = False, exclude_low: bo
     ``noise_px`` pixels of a year's keys are healed.
     """
     key = codes.general_class if general else lambda v: codes.crop_or_barren(v, exclude_low)
-    out = stack.withColumn("keys", F.array(*(key(F.col("cdl")[i]) for i in range(n_years))))
+    out = stack.withColumn("keys", F.transform(F.slice("cdl", 1, n_years), key))
     out = denoise.heal_noise(out, noise_px, "keys") if noise_px else out
-    raw = (lambda i: F.when(F.col("keys")[i] == 0, 0).otherwise(F.col("cdl")[i])) if general else (lambda i: F.col("keys")[i])
+    raw = F.zip_with(F.slice("cdl", 1, n_years), "keys", lambda v, k: F.when(k == 0, 0).otherwise(v)) if general else F.col("keys")
     return out.withColumns(
         {
             "seq": codes.pack(F.col("keys"), n_years),
             "effective": codes.effective(F.col("keys"), n_years, codes.GENERAL_BARREN if general else codes.BARREN),
-            "attr": F.array(*(codes.shown(raw(i)) for i in range(n_years))),
+            "attr": F.transform(raw, codes.shown),
         }
     )
 
