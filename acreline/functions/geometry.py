@@ -286,6 +286,22 @@ def intersects(a: list[Rings], b: list[Rings]) -> bool:
     return contains(a, *b[0][0][0]) or contains(b, *a[0][0][0])
 
 
+def shared_length(a: list[Rings], b: list[Rings]) -> float:
+    """Length of the border that two polygons have in common; points in common count nothing.
+
+    Stretches are found by exact products, so coordinates should be whole
+    multiples of a pixel, or vertices shared by both.
+    """
+    s, t = _segments(a)[:, None], _segments(b)[None]
+    p, q, u, v = s[..., :2], s[..., 2:], t[..., :2], t[..., 2:]
+    i, j = np.nonzero((_cross(p, q, u) == 0) & (_cross(p, q, v) == 0))
+    p, q, u, v = s[i, 0, :2], s[i, 0, 2:], t[0, j, :2], t[0, j, 2:]
+    way, long = q - p, np.hypot(*(q - p).T)
+    along = lambda x: ((x - p) * way).sum(axis=1) / np.where(long, long, 1)
+    from_, to = np.minimum(along(u), along(v)), np.maximum(along(u), along(v))
+    return float(np.maximum(np.minimum(to, long) - np.maximum(from_, 0), 0).sum())
+
+
 def box_ring(x0: float, y0: float, x1: float, y1: float) -> list[Rings]:
     return [[np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)], dtype=float)]]
 
@@ -384,6 +400,11 @@ def wkb_touches(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([None if v is None or w is None else touches(decode(v)[1], decode(w)[1]) for v, w in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.bool_())
 
 
+@F.arrow_udf(T.DoubleType())
+def wkb_shared_length(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([None if v is None or w is None else shared_length(decode(v)[1], decode(w)[1]) for v, w in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
+
+
 def lon_lat(points: np.ndarray, rounds: int = 6) -> np.ndarray:
     """Albers metres to degrees."""
     from acreline.functions import geo

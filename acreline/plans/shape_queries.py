@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from acreline.functions import geometry as geo
 from acreline.operators import vector
 from acreline.plans import oracle as o
-from acreline.operators import combine, evaluate
+from acreline.operators import combine, evaluate, polygons
 from acreline.plans.coverage_queries import BOXES, _MEASURES, _rounded, ours, truth, windows
 from acreline.plans.queries import labelled, query
 from acreline.runtime import stored
@@ -237,3 +237,15 @@ def edge_raster(spark: SparkSession, d: str) -> DataFrame:
         (-125 + (F.col("o_orderkey") * 37 % 5800) / F.lit(100.0)).alias("lon"), (24 + (F.col("o_custkey") * 17 % 2500) / F.lit(100.0)).alias("lat"), (F.col("o_orderkey") % 3 - 1).alias("value")
     )
     return combine.edge_cells(rows, 30_000.0, (-2356095.0, 3172605.0))
+
+
+@query(o.sql(o.GRAPH + ",\nm0 as (select label, label target from r0)" + o.eliminate_pass(1, 1000), "select label, target from t1"))
+def eliminate_shapes_once(spark: SparkSession, d: str) -> DataFrame:
+    """Merges of one pass from the borders of polygons."""
+    return polygons.merge_targets(shapes(spark, d), 1000.0).select("label", "target")
+
+
+@query(o.sql(o.ELIMINATED, "select label, n * 900.0::double area from merged"))
+def eliminate_shapes(spark: SparkSession, d: str) -> DataFrame:
+    """All passes on polygons; areas are those of the merged shapes, not sums."""
+    return polygons.eliminate(shapes(spark, d)).select("label", F.round(geo.wkb_area("geometry"), 3).alias("area"))
