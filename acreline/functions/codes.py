@@ -48,7 +48,7 @@ def pack(keys: Column, n_years: int) -> Column:
     """The sequence key of an array of n_years bytes; year i is at bit 8 * i."""
     if not 1 <= n_years <= MAX_YEARS:
         raise ValueError(f"between 1 and {MAX_YEARS} years fit a key, not {n_years}")
-    # from the last year down, one loop: unrolled, the generated method is too long for the JIT compiler
+    # one loop from the last year down: unrolled over the years it took several times as long
     return F.aggregate(F.reverse(F.slice(keys, 1, n_years)), F.lit(0).cast("bigint"), lambda seq, key: F.shiftleft(seq, 8).bitwiseOR(key.cast("bigint")))
 
 
