@@ -23,13 +23,11 @@ def keyed(stack: DataFrame, n_years: int, general: bool = False, exclude_low: bo
     out = stack.withColumn("keys", F.transform(F.slice("cdl", 1, n_years), key))
     out = denoise.heal_noise(out, noise_px, "keys") if noise_px else out
     raw = F.zip_with(F.slice("cdl", 1, n_years), "keys", lambda v, k: F.when(k == 0, 0).otherwise(v)) if general else F.col("keys")
-    return out.withColumns(
-        {
-            "seq": codes.pack(F.col("keys"), n_years),
-            "effective": codes.effective(F.col("keys"), n_years, codes.GENERAL_BARREN if general else codes.BARREN),
-            "attr": F.transform(raw, codes.shown),
-        }
-    )
+    barren = codes.GENERAL_BARREN if general else codes.BARREN
+    made = lambda k: F.struct(k.alias("keys"), codes.pack(k, n_years).alias("seq"), codes.effective(k, n_years, barren).alias("effective"))
+    # by a generator of one row: a filter on what it makes is not moved below it, where all would be worked out once more
+    columns = [F.col(f"`{c}`") for c in out.columns if c not in ("keys", "seq", "effective")]
+    return out.select(*columns, F.inline(F.transform(F.array("keys"), made))).withColumn("attr", F.transform(raw, codes.shown))
 
 
 def sequences(px: DataFrame) -> DataFrame:
