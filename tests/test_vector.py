@@ -193,35 +193,75 @@ def test_record_steps_reach_the_polygons(spark):
     assert areas(p.polygonize(stack, p.Params(**base, noise_px=2, origin=(0.0, 3000.0)), edges=edges)) == [71 * 900.0, 72 * 900.0]
 
 
-def tiff(path, a, deflate=False, rows_per_strip=4):
+def lzw(data):
+    """As TIFF 6.0 tells writers to do it: 10 bits once entry 511 is there, emptied after entry 4094."""
+    out, table, known = [], {}, 258
+    width = lambda: 9 if known < 512 else 10 if known < 1024 else 11 if known < 2048 else 12
+    put = lambda code: out.append(f"{code:0{width()}b}")
+    put(256)
+    word = b""
+    for i in range(len(data)):
+        longer = word + data[i : i + 1]
+        if len(longer) == 1 or longer in table:
+            word = longer
+            continue
+        put(table.get(word, word[0]))
+        table[longer] = known
+        known += 1
+        word = data[i : i + 1]
+        if known == 4095:
+            put(256)
+            table, known = {}, 258
+    if word:
+        put(table.get(word, word[0]))
+        known += 1
+    put(257)
+    bits = "".join(out)
+    return int(bits.ljust(-(-len(bits) // 8) * 8, "0"), 2).to_bytes(-(-len(bits) // 8), "big")
+
+
+def packbits(data):
+    out = b""
+    for i in range(0, len(data), 100):
+        part = data[i : i + 100]
+        out += bytes([257 - len(part)]) + part[:1] if len(part) > 1 and len(set(part)) == 1 else bytes([128, len(part) - 1]) + part
+    return out
+
+
+PACKED = {1: bytes, 5: lzw, 8: zlib.compress, 32773: packbits}
+
+
+def tiff(path, a, compression=1, big=False, rows_per_strip=4, order="<"):
     import struct
 
     h, w = a.shape
-    strips = [a[i : i + rows_per_strip].tobytes() for i in range(0, h, rows_per_strip)]
-    strips = [zlib.compress(s) for s in strips] if deflate else strips
-    data, offsets = b"", []
-    for s in strips:
-        offsets.append(8 + len(data))
-        data += s
-    scale, tie = struct.pack("<3d", 30, 30, 0), struct.pack("<6d", 0, 0, 0, 1000, 2000, 0)
-    arrays = struct.pack(f"<{len(offsets)}I", *offsets) + struct.pack(f"<{len(strips)}I", *map(len, strips)) + scale + tie
-    base = 8 + len(data)
-    n = len(strips)
-    at = lambda k: base + k
-    one = lambda tag, kind, v: struct.pack("<HHII" if kind == 4 else "<HHIHxx", tag, kind, 1, v)
-    ref = lambda tag, kind, count, where: struct.pack("<HHII", tag, kind, count, where)
-    many = lambda tag, values, where: ref(tag, 4, n, values[0] if n == 1 else where)
-    tags = [one(256, 4, w), one(257, 4, h), one(258, 3, 8), one(259, 3, 8 if deflate else 1), many(273, offsets, at(0)), one(277, 3, 1), one(278, 4, rows_per_strip), many(279, list(map(len, strips)), at(4 * n)), ref(33550, 12, 3, at(8 * n)), ref(33922, 12, 6, at(8 * n + 24))]
-    path.write_bytes(struct.pack("<2sHI", b"II", 42, base + len(arrays)) + data + arrays + struct.pack("<H", len(tags)) + b"".join(tags) + struct.pack("<I", 0))
-
-
-@pytest.mark.parametrize("deflate", [False, True])
-def test_raster_source(spark, tmp_path, deflate):
+    strips = [PACKED[compression](a[i : i + rows_per_strip].tobytes()) for i in range(0, h, rows_per_strip)]
+    head = 16 if big else 8
+    offsets = [head + sum(map(len, strips[:i])) for i in range(len(strips))]
+    values = {256: (4, [w]), 257: (4, [h]), 258: (3, [8]), 259: (3, [compression]), 273: (16 if big else 4, offsets), 277: (3, [1]), 278: (4, [rows_per_strip]), 279: (4, [len(s) for s in strips]),
+              33550: (12, [30.0, 30.0, 0.0]), 33922: (12, [0.0, 0.0, 0.0, 1000.0, 2000.0, 0.0])}
+    word, room = ("Q", 8) if big else ("I", 4)
+    behind, entries = b"".join(strips), b""
+    for tag, (kind, numbers) in values.items():
+        packed = struct.pack(f"{order}{len(numbers)}{ {3: 'H', 4: 'I', 12: 'd', 16: 'Q'}[kind] }", *numbers)
+        entries += struct.pack(order + "HH" + word, tag, kind, len(numbers))
+        if len(packed) > room:
+            entries += struct.pack(order + word, head + len(behind))
+            behind += packed
+        else:
+            entries += packed.ljust(room, b"\0")
+    mark = b"II" if order == "<" else b"MM"
+    start = struct.pack(order + "2sHHHQ", mark, 43, 8, 0, head + len(behind)) if big else struct.pack(order + "2sHI", mark, 42, head + len(behind))
+    path.write_bytes(start + behind + struct.pack(order + ("Q" if big else "H"), len(values)) + entries + bytes(room))
+
+
+@pytest.mark.parametrize(("compression", "big"), [(1, False), (8, False), (5, True)])
+def test_raster_source(spark, tmp_path, compression, big):
     from acreline.sources.geotiff import GeoTiffSource, Tiff
 
     a = {y: np.random.default_rng(y).integers(0, 255, (11, 9)).astype(np.uint8) for y in (2020, 2021)}
     for y, v in a.items():
-        tiff(tmp_path / f"{y}.tif", v, deflate)
+        tiff(tmp_path / f"{y}.tif", v, compression, big)
     assert Tiff(str(tmp_path / "2020.tif")).origin == (1000, 2000)
     spark.dataSource.register(GeoTiffSource)
     df = spark.read.format("classraster").option("path", str(tmp_path / "{year}.tif")).option("years", "2020,2021").option("tile", "5").load()
@@ -230,6 +270,20 @@ def test_raster_source(spark, tmp_path, deflate):
     assert all(a[r["yr"]][r["r"], r["c"]] == r["cdl"] and r["pix"] == r["r"] * 9 + r["c"] for r in rows)
 
 
+@pytest.mark.parametrize("compression", PACKED)
+@pytest.mark.parametrize(("big", "order"), [(False, "<"), (True, ">")])
+def test_rasters_of_every_compression(tmp_path, compression, big, order):
+    from acreline.sources.geotiff import Tiff
+
+    draw = np.random.default_rng(compression)
+    for a in (draw.integers(0, 256, (90, 131)), np.repeat(draw.integers(0, 9, (40, 30)), 23, axis=1), np.zeros((60, 700))):
+        a = a.astype(np.uint8)
+        tiff(tmp_path / "a.tif", a, compression, big, rows_per_strip=37, order=order)
+        t = Tiff(str(tmp_path / "a.tif"))
+        assert (t.window(0, 0, *a.shape) == a).all()
+        assert (t.window(30, 7, 9, 20) == a[30:39, 7:27]).all() and (t.window(3, 0, 9, 20) == a[3:12, :20]).all()
+
+
 def test_end_to_end(spark, tmp_path):
     from acreline.plans import pipeline as p
 
