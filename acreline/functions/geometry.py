@@ -7,6 +7,7 @@ are for polygons of modest size, many per Arrow batch.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,9 +86,17 @@ def bounds(parts: list[Rings]) -> tuple[float, float, float, float]:
 
 
 def is_valid(polygons: list[Rings]) -> bool:
-    """Closed finite rings of an area; crossings are not looked for."""
+    """Closed finite rings of an area that neither cross nor run along each other; a ring may touch itself at a point."""
     rings = [r for p in polygons for r in p]
-    return bool(rings) and all(len(r) >= 4 and np.isfinite(r).all() and (r[0] == r[-1]).all() and signed_area(r) != 0 for r in rings)
+    good = bool(rings) and all(len(r) >= 4 and np.isfinite(r).all() and (r[0] == r[-1]).all() and signed_area(r) != 0 for r in rings)
+    if not good:
+        return False
+    edges = _odd_edges(_segments(polygons))
+    if edges is None:
+        return False
+    # rings through each other at a vertex, holes outside and parts inside of parts show in the area
+    inside, own = _even_odd_area(edges), area(polygons)
+    return abs(inside - own) <= 1e-9 * max(inside, own)
 
 
 def _edges(polygons: list[Rings]) -> np.ndarray:
@@ -169,9 +178,18 @@ def union_coverage(shapes: list[list[Rings]]) -> list[Rings]:
                 count[q, p] -= 1
             else:
                 count[p, q] = count.get((p, q), 0) + 1
+    return _polygons((e for e, n in count.items() for _ in range(n)), left=False)
+
+
+def _polygons(edges: Iterable[tuple[tuple, tuple]], left: bool) -> list[Rings]:
+    """Polygons of directed edges with the inside on their left.
+
+    Where borders touch the sharpest right turn keeps holes apart, the sharpest
+    left turn (``left``) keeps polygons apart.
+    """
     after: dict[tuple, list[tuple]] = {}
-    for (p, q), n in ((e, n) for e, n in count.items() if n):
-        after.setdefault(p, []).extend([q] * n)
+    for p, q in edges:
+        after.setdefault(p, []).append(q)
     rings = []
     while after:
         start = next(iter(after))
@@ -179,9 +197,9 @@ def union_coverage(shapes: list[list[Rings]]) -> list[Rings]:
         while True:
             here = ring[-1]
             choices = after[here]
-            if before is not None and len(choices) > 1:  # the sharpest right turn keeps touching rings apart
+            if before is not None and len(choices) > 1:
                 a = np.arctan2(here[1] - before[1], here[0] - before[0])
-                choices.sort(key=lambda q: (np.arctan2(q[1] - here[1], q[0] - here[0]) - a + np.pi) % (2 * np.pi), reverse=True)
+                choices.sort(key=lambda q: (np.arctan2(q[1] - here[1], q[0] - here[0]) - a + np.pi) % (2 * np.pi), reverse=not left)
             q = choices.pop()
             if not choices:
                 del after[here]
@@ -189,7 +207,7 @@ def union_coverage(shapes: list[list[Rings]]) -> list[Rings]:
             ring.append(q)
             if q == start:
                 break
-        rings.append(np.array(ring))
+        rings += [np.array(r) for r in (_loops(ring) if left else [ring])]
     outer = [[r] for r in rings if signed_area(r) > 0]
     for h in (r for r in rings if signed_area(r) < 0):
         mid = (h[0] + h[1]) / 2 + 1e-6 * np.array([h[1, 1] - h[0, 1], h[0, 0] - h[1, 0]])
@@ -198,6 +216,22 @@ def union_coverage(shapes: list[list[Rings]]) -> list[Rings]:
     return outer
 
 
+def _loops(ring: list[tuple]) -> list[list[tuple]]:
+    """A closed walk cut where it meets itself."""
+    out, path, at = [], [], {}
+    for p in ring:
+        if p in at:
+            loop = path[at[p] :]
+            for q in loop[1:]:
+                del at[q]
+            del path[at[p] + 1 :]
+            out.append([*loop, p])
+        else:
+            at[p] = len(path)
+            path.append(p)
+    return out
+
+
 def boundary_samples(parts: list[Rings], pitch: float) -> np.ndarray:
     """At least four evenly spaced points along the whole border."""
     segs = np.concatenate([np.hstack([r[:-1], r[1:]]) for p in parts for r in p])
@@ -302,6 +336,138 @@ def shared_length(a: list[Rings], b: list[Rings]) -> float:
     return float(np.maximum(np.minimum(to, long) - np.maximum(from_, 0), 0).sum())
 
 
+def _near_pairs(s: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of segments whose boxes meet, each once, in blocks of about ``most`` candidates."""
+    low, high = np.minimum(s[:, :2], s[:, 2:]), np.maximum(s[:, :2], s[:, 2:])
+    order = np.argsort(low[:, 0], kind="stable")
+    low, high = low[order], high[order]
+    n = np.searchsorted(low[:, 0], high[:, 0], "right") - np.arange(len(s)) - 1  # those behind it that begin before it ends
+    begin = 0
+    total = np.cumsum(n)
+    while begin < len(s):
+        end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + most, "right")))
+        k = n[begin:end]
+        i = np.repeat(np.arange(begin, end), k)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
+        met = (low[j, 1] <= high[i, 1]) & (low[i, 1] <= high[j, 1])
+        yield order[i[met]], order[j[met]]
+        begin = end
+
+
+def _cuts(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Segments and points inside of them at which others meet them; whether any two cross or run along each other."""
+    which, points, crossed = [], [], False
+    for i, j in _near_pairs(s):
+        p, q, u, v = s[i, :2], s[i, 2:], s[j, :2], s[j, 2:]
+        side = [np.sign(x) for x in (_cross(p, q, u), _cross(p, q, v), _cross(u, v, p), _cross(u, v, q))]
+        through = (side[0] * side[1] < 0) & (side[2] * side[3] < 0)
+        if through.any():
+            crossed = True
+            a, b, c, d = p[through], q[through], u[through], v[through]
+            t = _cross(c, d, a) / (_cross(c, d, a) - _cross(c, d, b))
+            at = a + t[:, None] * (b - a)
+            which += [i[through], j[through]]
+            points += [at, at]
+        # ends of one on the other
+        on = []
+        for flat, x, a, b, k in ((side[0], u, p, q, i), (side[1], v, p, q, i), (side[2], p, u, v, j), (side[3], q, u, v, j)):
+            t = ((x - a) * (b - a)).sum(axis=1)
+            inner = (flat == 0) & (t > 0) & (t < ((b - a) ** 2).sum(axis=1))
+            which.append(k[inner])
+            points.append(x[inner])
+            on.append(inner)
+        level = (side[0] == 0) & (side[1] == 0)
+        same = level & (((p == u).all(axis=1) & (q == v).all(axis=1)) | ((p == v).all(axis=1) & (q == u).all(axis=1)))
+        crossed |= bool((same | level & (on[0] | on[1] | on[2] | on[3])).any())
+    none = np.empty((0, 2))
+    return np.concatenate(which) if which else np.empty(0, dtype=int), np.concatenate(points) if points else none, crossed
+
+
+def _odd_edges(s: np.ndarray, repair: bool = False) -> np.ndarray | None:
+    """Segments cut where they meet, less those that lie there an even number of times.
+
+    None if any cross or run along each other, unless ``repair`` is asked for.
+    """
+    s = s[(s[:, :2] != s[:, 2:]).any(axis=1)]
+    if not repair:
+        return None if _cuts(s)[2] else s
+    grid = 2.0 ** (np.ceil(np.log2(max(np.abs(s).max(initial=0.0), 1e-300))) - 40)  # some micrometres in a country
+    s = np.round(s / grid) * grid
+    for _ in range(8):  # a cut moves to the grid and may so meet another segment
+        s = s[(s[:, :2] != s[:, 2:]).any(axis=1)]
+        which, points, _crossed = _cuts(s)
+        points = np.round(points / grid) * grid
+        moved = (points != s[which, :2]).any(axis=1) & (points != s[which, 2:]).any(axis=1)
+        if not moved.any():
+            break
+        which, points = which[moved], points[moved]
+        every = np.concatenate([np.arange(len(s)), which, np.arange(len(s))])
+        stops = np.concatenate([s[:, :2], points, s[:, 2:]])
+        t = ((stops - s[every, :2]) * (s[every, 2:] - s[every, :2])).sum(axis=1)
+        order = np.lexsort((t, every))
+        every, stops = every[order], stops[order]
+        one = every[1:] == every[:-1]
+        s = np.hstack([stops[:-1][one], stops[1:][one]])
+    s = s[(s[:, :2] != s[:, 2:]).any(axis=1)]
+    back = (s[:, 0] > s[:, 2]) | (s[:, 0] == s[:, 2]) & (s[:, 1] > s[:, 3])
+    s[back] = s[back][:, [2, 3, 0, 1]]
+    s, times = np.unique(s, axis=0, return_counts=True)
+    return s[times % 2 == 1]
+
+
+def _inside_left(s: np.ndarray) -> np.ndarray:
+    """Edges turned so that what an odd number of rings surrounds is on their left."""
+    s = s.copy()
+    for axis in (0, 1):  # steep edges look along x, level ones along y
+        steep = np.abs(s[:, 3] - s[:, 1]) >= np.abs(s[:, 2] - s[:, 0])
+        mine = np.flatnonzero(steep if axis == 0 else ~steep)
+        if not len(mine):
+            continue
+        x, y = (s[:, [0, 2]], s[:, [1, 3]]) if axis == 0 else (s[:, [1, 3]], s[:, [0, 2]])
+        low, high = y.min(axis=1), y.max(axis=1)
+        mid = (s[mine, :2] + s[mine, 2:]) / 2
+        my = mid[:, 1 - axis]
+        odd = np.zeros(len(mine), dtype=bool)
+        heights, at = np.unique(my, return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        for height, same in zip(heights, np.split(order, np.cumsum(np.bincount(at))[:-1]), strict=True):
+            met = np.flatnonzero((low <= height) & (height < high))
+            where = x[met, 0] + (height - y[met, 0]) / (y[met, 1] - y[met, 0]) * (x[met, 1] - x[met, 0])
+            own = where[np.searchsorted(met, mine[same])]
+            odd[same] = (len(met) - np.searchsorted(np.sort(where), own, "right")) % 2
+        up = (y[mine, 1] > y[mine, 0]) if axis == 0 else (y[mine, 1] < y[mine, 0])
+        # beyond an edge that goes up lies its right side
+        turn = mine[up == odd]
+        s[turn] = s[turn][:, [2, 3, 0, 1]]
+    return s
+
+
+def _even_odd_area(edges: np.ndarray) -> float:
+    s = _inside_left(edges)
+    s = s - np.tile(s[0, :2], 2)
+    return float((s[:, 0] * s[:, 3] - s[:, 2] * s[:, 1]).sum() / 2)
+
+
+def repaired(polygons: list[Rings]) -> list[Rings]:
+    """Valid polygons of what an odd number of rings surrounds; empty if nothing is.
+
+    Rings are cut where they meet, stretches that lie on each other in pairs
+    go, and what touches at a point only becomes polygons of their own. Points
+    that are not finite and unclosed ends are mended first. Coordinates of
+    shapes that are valid already stay as they are; others come to a grid of
+    2**-40 of the largest.
+    """
+    rings = [r[np.isfinite(r).all(axis=1)] for p in polygons for r in p]
+    closed = [np.concatenate([r, r[:1]]) for r in rings if len(r) > 2]
+    if not closed:
+        return []
+    edges = _odd_edges(_segments([closed]), repair=True)
+    if not len(edges):
+        return []
+    pairs = [((a, b), (c, d)) for a, b, c, d in _inside_left(edges).tolist()]
+    return _polygons(pairs, left=True)
+
+
 def box_ring(x0: float, y0: float, x1: float, y1: float) -> list[Rings]:
     return [[np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)], dtype=float)]]
 
@@ -329,6 +495,20 @@ def wkb_valid(g: pa.Array) -> pa.Array:
     return pa.array(_each(g, is_valid), pa.bool_())
 
 
+@F.arrow_udf(T.BinaryType())
+def wkb_repaired(g: pa.Array) -> pa.Array:
+    """Polygons made valid, null if nothing is left; valid ones, lines and points stay as they are."""
+
+    def one(wkb: bytes) -> bytes | None:
+        kind, parts = decode(wkb)
+        if kind != 3 or is_valid(parts):
+            return wkb
+        made = repaired(parts)
+        return encode(made) if made else None
+
+    return pa.array([None if w is None else one(w) for w in g.to_pylist()], pa.binary())
+
+
 @F.arrow_udf(_doubles("xmin", "ymin", "xmax", "ymax"))
 def wkb_bounds(g: pa.Array) -> pa.Array:
     return pa.array(_each(g, lambda p: dict(zip(("xmin", "ymin", "xmax", "ymax"), bounds(p), strict=True))), pa.struct([(c, pa.float64()) for c in ("xmin", "ymin", "xmax", "ymax")]))

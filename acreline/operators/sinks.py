@@ -111,8 +111,8 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def for_map(df: DataFrame, drop: tuple[str, ...] = ("effective_count", "area_sqm", "oid", "tile")) -> DataFrame:
-    """Valid geometries in degrees without the inner columns, as map archives take them."""
+    """Valid geometries in degrees without the inner columns, as map archives take them; crossings are mended."""
     from acreline.functions import geometry as g
 
-    good = df.where("geometry is not null").where(g.wkb_valid("geometry"))
+    good = df.where("geometry is not null").withColumn("geometry", g.wkb_repaired("geometry")).where("geometry is not null")
     return good.drop(*drop).withColumn("geometry", g.wkb_lon_lat("geometry"))

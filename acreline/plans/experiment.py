@@ -47,6 +47,7 @@ def sweep(stack: DataFrame, truth: DataFrame, windows: DataFrame, base: Params,
 
 
 def sided(shapes: DataFrame) -> DataFrame:
-    """Shapes as a side of a comparison: ``id, area`` and box columns."""
+    """Shapes as a side of a comparison, made valid: ``id, area`` and box columns."""
+    shapes = shapes.withColumn("geometry", g.wkb_repaired("geometry"))
     boxed = shapes if "xmin" in shapes.columns else vector.with_bounds(shapes)
     return boxed.withColumns({"id": F.monotonically_increasing_id(), "area": g.wkb_area("geometry")})

@@ -89,7 +89,8 @@ def postprocess(shapes: DataFrame, boundaries: DataFrame, p: Params, cell: float
     from acreline.operators.spatialjoin import box_join, largest_overlap
 
     boxed = stored(vector.with_bounds(shapes), "boxed")
-    pairs = box_join(boxed, vector.with_bounds(boundaries), cell).withColumn("_o", g.wkb_intersection_area("a.geometry", "b.geometry")).where("_o > 0")
+    mended = boundaries.withColumn("geometry", g.wkb_repaired("geometry")).where("geometry is not null")
+    pairs = box_join(boxed, stored(vector.with_bounds(mended), "boundaries"), cell).withColumn("_o", g.wkb_intersection_area("a.geometry", "b.geometry")).where("_o > 0")
     names = [c for c in boundaries.columns if c != "geometry"]
     flat = pairs.select("a.*", *(F.col(f"b.{c}").alias(c) for c in names), "_o")
     best = largest_overlap(flat, ["tile", "label"], "_o", "CNTYFIPS").drop("_o")
