@@ -93,6 +93,7 @@ def parser() -> argparse.ArgumentParser:
     p = add("bench-eliminate", "time elimination on growing windows", "source")
     p.add_argument("--sizes", default="1000,2500,5000")
     p.add_argument("--repeats", type=int, default=5)
+    p.add_argument("--fresh", action="store_true", help="a process for each run")
     add("index", "Hilbert-sorted copy with boxes", "source", "target")
     p = add("parity", "coverage of ours and truth", "ours", "truth")
     p.add_argument("--whole", action="store_true")
@@ -254,9 +255,9 @@ def main(argv: list[str] | None = None) -> None:
     elif a.command == "bench-eliminate":
         from acreline.plans import elimination
 
-        rows = spark.read.parquet(a.source)
+        rows, sizes = spark.read.parquet(a.source), tuple(int(x) for x in a.sizes.split(","))
         made = []
-        for record in elimination.runs(rows, len(rows.first()["cdl"]), tuple(int(x) for x in a.sizes.split(",")), a.repeats):
+        for record in elimination.fresh_runs(a.source, sizes, a.repeats) if a.fresh else elimination.runs(rows, len(rows.first()["cdl"]), sizes, a.repeats):
             print(json.dumps(record), flush=True)
             made.append(record)
         for record in elimination.summary(spark, made):

@@ -45,6 +45,15 @@ def test_scores_and_sweeps(spark, tmp_path, capsys):
     assert all(x["iou"] == pytest.approx(1) and x["only_ours_acres"] == pytest.approx(0) for x in made)
 
 
+def test_elimination_is_timed_in_processes_of_its_own(spark, tmp_path, capsys):
+    rows = [("A0", r * 12 + c, r, c, [1, 1] if (r, c) != (3, 3) else [5, 5]) for r in range(12) for c in range(12)]
+    spark.createDataFrame(rows, "tile string, pix long, r long, c long, cdl array<int>").write.parquet(str(tmp_path / "s"))
+    capsys.readouterr()
+    cli.main(["bench-eliminate", str(tmp_path / "s"), "--sizes", "12", "--repeats", "1", "--fresh"])
+    got = json.loads(capsys.readouterr().out.splitlines()[0])
+    assert (got["regions"], got["left"], got["area_sqm"]) == (2, 1, 144 * 900.0) and got["peak_mb"] > 1
+
+
 def test_entry_without_the_optional_half(spark):
     import __spark_entry__ as e
 
