@@ -91,9 +91,16 @@ def is_valid(polygons: list[Rings]) -> bool:
     good = bool(rings) and all(len(r) >= 4 and np.isfinite(r).all() and (r[0] == r[-1]).all() and signed_area(r) != 0 for r in rings)
     if not good:
         return False
+    if len(rings) == 1 and len(rings[0]) == 5:  # four corners that all turn one way
+        way = np.diff(rings[0], axis=0)
+        turns = way[:, 0] * np.roll(way[:, 1], -1) - way[:, 1] * np.roll(way[:, 0], -1)
+        if (turns > 0).all() or (turns < 0).all():
+            return True
     edges = _odd_edges(_segments(polygons))
     if edges is None:
         return False
+    if len(rings) == 1 and len(np.unique(rings[0][:-1] @ np.array([1, 1j]))) == len(rings[0]) - 1:
+        return True  # one ring that neither crosses nor meets a corner of its own twice
     # rings through each other at a vertex, holes outside and parts inside of parts show in the area
     inside, own = _even_odd_area(edges), area(polygons)
     return abs(inside - own) <= 1e-9 * max(inside, own)

@@ -15,6 +15,8 @@ SQUARE = ring((0, 0), (4, 0), (4, 4), (0, 4))
 # shape, its even-odd area, polygons after repair, valid before
 SHAPES = {
     "square": ([[SQUARE]], 16, 1, True),
+    "four corners": ([[ring((0, 0), (4, 1), (3, 3), (1, 2))]], 6, 1, True),
+    "four corners with a dent": ([[ring((0, 0), (4, 0), (1, 1), (0, 4))]], 4, 1, True),
     "bow tie": ([[ring((0, 0), (2, 2), (2, 0), (0, 2))]], 2, 2, False),
     "uneven figure eight": ([[ring((0, 0), (3, 3), (3, 0), (1, 2), (0, 2))]], 4, 2, False),
     "spike": ([[ring((0, 0), (4, 0), (4, 4), (2, 4), (2, 9), (2, 4), (0, 4))]], 16, 1, False),
