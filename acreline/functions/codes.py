@@ -30,6 +30,11 @@ GENERAL_CLASS = {
 }
 
 
+def character(point: Column) -> Column:
+    """The character of a code point. ``F.char`` knows the first 256 only and begins again behind them."""
+    return F.decode(F.unhex(F.lpad(F.hex(point.cast("long")), 8, "0")), "UTF-32")
+
+
 def general_class(value: Column) -> Column:
     """The general class by a literal table; 0 for what is not listed."""
     table = F.array(*(F.lit(GENERAL_CLASS.get(v, 0)) for v in range(256)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreline.functions import geo
+from acreline.functions import codes, geo
 from acreline.operators import combine, enrich, evaluate, regions
 from acreline.operators.spatialjoin import box_join, largest_overlap, pixel_overlap
 from acreline.plans import oracle as o
@@ -217,14 +217,14 @@ def region_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _tiled(spark: SparkSession, d: str) -> DataFrame:
-    tile = F.concat(F.char(F.floor(F.col("r") / 50) + 65), F.floor(F.col("c") / 50).cast("string"))
+    tile = F.concat(codes.character(F.floor(F.col("r") / 50) + 65), F.floor(F.col("c") / 50).cast("string"))
     return stored(regions.components(combine.retained(px(spark, d)).drop("cdl", "keys", "attr").withColumn("tile", tile)), "tiled")
 
 
 def _zones(spark: SparkSession, d: str) -> DataFrame:
     rows = px(spark, d)
     high = rows.agg(F.max("r") + 1).first()[0]
-    tile = F.concat(F.char(F.floor(F.col("r") / 50) + 65), F.floor(F.col("c") / 50).cast("string"))
+    tile = F.concat(codes.character(F.floor(F.col("r") / 50) + 65), F.floor(F.col("c") / 50).cast("string"))
     return rows.select(tile.alias("tile"), "pix", (F.least(F.floor(F.col("r") / max(1, high // 5)), F.lit(4)) * 5 + F.floor(F.col("c") / 20)).cast("int").alias("zone"))
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acreline.functions import codes
 from acreline.functions import geometry as g
 from acreline.operators import evaluate
 from acreline.plans import oracle as o
@@ -86,7 +87,7 @@ def chamfer_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stack(spark: SparkSession, d: str) -> DataFrame:
-    tile = F.concat(F.char(F.floor(F.col("r") / 50) + 65), F.floor(F.col("c") / 50).cast("string"))
+    tile = F.concat(codes.character(F.floor(F.col("r") / 50) + 65), F.floor(F.col("c") / 50).cast("string"))
     return pixels.demo_stack(spark, d).withColumn("tile", tile)
 
 
