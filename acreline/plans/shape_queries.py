@@ -35,11 +35,12 @@ def outlines(spark: SparkSession, d: str) -> DataFrame:
 @query(o.sql(o.LABELS, "select label, c // 20 zone, count(*) * 900.0::double area from lab group by 1, 2"))
 def polygon_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Intersection areas of outlines with strips, by the geometry kernel."""
-    strip = lambda k: geo.encode_polygon([np.array([(600 * k, -1e6), (600 * k + 600, -1e6), (600 * k + 600, 0), (600 * k, 0), (600 * k, -1e6)], dtype=float)])
-    strips = spark.createDataFrame([(k, 600.0 * k, -1e6, 600.0 * k + 600, 0.0, bytearray(strip(k))) for k in range(5)], "zone long, xmin double, ymin double, xmax double, ymax double, geometry binary")
     from acreline.operators.spatialjoin import box_join
 
-    pairs = box_join(vector.with_bounds(shapes(spark, d)), strips, 100_000.0)
+    found = stored(vector.with_bounds(vector.outlines(labelled(spark, d))), "bounds")
+    low = found.agg(F.coalesce(F.min("ymin"), F.lit(-30.0))).first()[0]  # strips go down to the lowest outline
+    strips = spark.range(5).select(F.col("id").alias("zone"), (F.col("id") * 600.0).alias("xmin"), F.lit(low).alias("ymin"), (F.col("id") * 600.0 + 600).alias("xmax"), F.lit(0.0).alias("ymax"))
+    pairs = box_join(found, _box_wkb(strips), 100_000.0)
     return pairs.select(F.col("a.label").alias("label"), F.col("b.zone").alias("zone"), F.round(geo.wkb_intersection_area("a.geometry", "b.geometry"), 6).alias("area")).where("area > 0")
 
 

@@ -31,3 +31,9 @@ def test_tiles_have_names_of_their_own(spark, far):
     d = far(256 * 50)
     got = entry.queries()["best_overlap_join"](spark, d).select("tile", "label", "CNTYFIPS", "n_pixels").collect()
     assert sorted(map(tuple, got)) == by_sql("best_overlap_join", d)
+
+
+def test_strips_reach_the_last_row(spark, far):
+    d = far(40_000)
+    got = entry.queries()["polygon_overlap"](spark, d).select("label", "zone", "area").collect()
+    assert sorted(map(tuple, got)) == by_sql("polygon_overlap", d)
