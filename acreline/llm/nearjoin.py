@@ -8,8 +8,8 @@ in a band are verified on their full shingle sets.
 
 Verification never lists the pairs of a bucket. Representatives that meet are
 connected into candidate components, and these are cut into blocks of bounded
-size; two blocks are compared if any band joins them, and a comparison is a product of sparse 0/1 matrices in slices of columns. A
-row leaves it per representative: how many documents it is linked to there,
+size; two blocks are compared if any band joins them, and a comparison is a product of sparse 0/1 matrices in slices of rows and
+columns, of which no more than one is held. A row leaves it per representative: how many documents it is linked to there,
 and one link to the smallest representative of its part. Links are then
 connected into classes.
 
@@ -28,10 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreline.llm import textkit
+from acreline.operators.blocks import roots
 from acreline.operators.graph import connected_components
 from acreline.runtime import stored
 
@@ -41,8 +43,8 @@ THRESHOLD = 0.8
 RECALL = 0.9995
 #: Size of a block of representatives, in UTF-8 bytes of text and ROW_BYTES more for each.
 BLOCK_BYTES, ROW_BYTES = 4 << 20, 1000
-#: Cells of one dense slice in a comparison.
-CELLS = 1 << 22
+#: Cells of one dense slice in a comparison, and of its result that is held at once.
+CELLS = 1 << 20
 
 
 def choose_bands(threshold: float, recall: float, most: int = 160) -> tuple[int, int]:
@@ -123,77 +125,78 @@ class _Sets:
         self.col = np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64)
 
 
-def _common(x: _Sets, y: _Sets) -> np.ndarray:
-    """Shared shingles of each document of x with each of y."""
+def _links(x: _Sets, y: _Sets, threshold: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, row, column) of the links of some rows of x at a time, a bounded number of cells; of x with itself without its own."""
     n, m = len(x.size), len(y.size)
-    out = np.zeros((n, m), dtype=np.float32)
     shared = np.intersect1d(x.col, y.col)
     if x is y:  # a shingle of one document is shared with none
         one, counts = np.unique(x.col, return_counts=True)
         shared = one[counts > 1]
-    width = max(1, CELLS // max(n, m))
+    if not len(shared):
+        return
 
     def found(s: _Sets) -> tuple[np.ndarray, np.ndarray]:
         p = np.searchsorted(shared, s.col)
         p[p == len(shared)] = 0
-        ok = shared[p] == s.col if len(shared) else np.zeros(len(p), dtype=bool)
-        order = np.argsort(p[ok], kind="stable")
-        return p[ok][order], s.row[ok][order]
+        ok = shared[p] == s.col
+        return p[ok], s.row[ok]
 
     (px, rx), (py, ry) = found(x), found(y)
-    for a in range(0, len(shared), width):
-        b = min(a + width, len(shared))
-        i, j = np.searchsorted(px, [a, b])
-        k, l = np.searchsorted(py, [a, b])  # noqa: E741
-        ux, ix = np.unique(rx[i:j], return_inverse=True)
-        uy, iy = np.unique(ry[k:l], return_inverse=True)
-        dx = np.zeros((len(ux), b - a), dtype=np.float32)
-        dx[ix, px[i:j] - a] = 1
-        dy = np.zeros((len(uy), b - a), dtype=np.float32)
-        dy[iy, py[k:l] - a] = 1
-        out[np.ix_(ux, uy)] += dx @ dy.T
-    return out
-
-
-def _linked(x: _Sets, y: _Sets, threshold: float) -> np.ndarray:
-    both = _common(x, y)
-    either = x.size[:, None] + y.size[None, :] - both
-    return (both > 0) & (both >= threshold * either - 1e-6)
+    order = np.argsort(py, kind="stable")
+    py, ry = py[order], ry[order]
+    height = max(1, CELLS // m)
+    for top in range(0, n, height):
+        rows = min(height, n - top)
+        i, j = np.searchsorted(rx, [top, top + rows])
+        columns, p = np.unique(px[i:j], return_inverse=True)
+        order = np.argsort(p, kind="stable")
+        p, r = p[order], rx[i:j][order] - top
+        begin, end = np.searchsorted(py, columns), np.searchsorted(py, columns, "right")
+        both = np.zeros((rows, m), dtype=np.float32)
+        width = max(1, CELLS // max(rows, m))
+        for a in range(0, len(columns), width):
+            b = min(a + width, len(columns))
+            i, j = np.searchsorted(p, [a, b])
+            ux, ix = np.unique(r[i:j], return_inverse=True)
+            times = end[a:b] - begin[a:b]
+            at = np.repeat(begin[a:b] - np.cumsum(times) + times, times) + np.arange(times.sum())
+            uy, iy = np.unique(ry[at], return_inverse=True)
+            dx = np.zeros((len(ux), b - a), dtype=np.float32)
+            dx[ix, p[i:j] - a] = 1
+            dy = np.zeros((len(uy), b - a), dtype=np.float32)
+            dy[iy, np.repeat(np.arange(b - a), times)] = 1
+            both[np.ix_(ux, uy)] += dx @ dy.T
+        link = both >= threshold * (x.size[top : top + rows, None] + y.size[None, :] - both) - 1e-6
+        link &= both > 0
+        if x is y:
+            link[np.arange(rows), top + np.arange(rows)] = False
+        yield top, *np.nonzero(link)
 
 
 def _compare(table: pa.Table, threshold: float) -> pa.Table:
     """One comparison: rows with side 0 or 1, or side 0 alone against itself."""
     table = table.combine_chunks()
-    side = table.column("side").to_numpy()
-    ids, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
-    parts = [np.flatnonzero(side == s) for s in (0, 1)]
+    table = table.take(pc.sort_indices(table.column("rep")))  # so the smallest row of a part has its smallest id
+    side, copies = table.column("side").to_numpy(), table.column("copies").to_numpy()
     text = table.column("text").combine_chunks()
-    x = _Sets(text.take(pa.array(parts[0])))
-    if len(parts[1]):
-        y = _Sets(text.take(pa.array(parts[1])))
-        link = _linked(x, y, threshold)
-        own = [(parts[0], link, parts[1]), (parts[1], link.T, parts[0])]
+    mine, theirs = (np.flatnonzero(side == s) for s in (0, 1))
+    x = y = _Sets(text.take(pa.array(mine)))
+    if alone := not len(theirs):
+        theirs = mine
     else:
-        link = _linked(x, x, threshold)
-        np.fill_diagonal(link, False)
-        own = [(parts[0], link, parts[0])]
-    # the smallest id that links inside the block lead to, spread until it settles
-    least = ids.copy()
-    far = np.iinfo(np.int64).max
-    while True:
-        before = least.copy()
-        for mine, link, theirs in own:
-            near = np.where(link, least[theirs][None, :], far).min(axis=1, initial=far)
-            least[mine] = np.minimum(least[mine], near)
-        if (before == least).all():
-            break
-    rep, links, to = [], [], []
-    for mine, link, theirs in own:
-        some = np.flatnonzero(link.any(axis=1))
-        rep.append(ids[mine][some])
-        to.append(least[mine][some])
-        links.append(link[some].astype(np.float64) @ copies[theirs].astype(np.float64))
-    return pa.table({"rep": pa.array(np.concatenate(rep)), "to": pa.array(np.concatenate(to)), "links": pa.array(np.concatenate(links).astype(np.int64))})
+        y = _Sets(text.take(pa.array(theirs)))
+    links, part = np.zeros(len(table)), np.arange(len(table))
+    for top, i, j in _links(x, y, threshold):
+        u, v = mine[top + i], theirs[j]
+        links += np.bincount(u, weights=copies[v], minlength=len(table))
+        if not alone:
+            links += np.bincount(v, weights=copies[u], minlength=len(table))
+        met = np.unique(part[u] * len(table) + part[v])
+        part = roots(len(table), met // len(table), met % len(table))[part]
+    some = pa.array(np.flatnonzero(links))
+    rep = table.column("rep")
+    textkit.release()
+    return pa.table({"rep": rep.take(some), "to": rep.take(pa.array(part)).take(some), "links": pa.array(links.astype(np.int64)).take(some)})
 
 
 def _classes(docs: DataFrame, threshold: float, recall: float, block_bytes: int) -> DataFrame:

@@ -76,3 +76,31 @@ def test_texts_that_share_an_id_are_documents_of_their_own(spark):
     df = spark.createDataFrame([(7, near[0]), (7, "0 1 2 3 4 5"), (8, near[1]), (9, near[0])], "doc_id long, text string")
     assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard_join(df).collect()) == [(7, 7, 0), (7, 7, 2), (8, 7, 2), (9, 7, 2)]
     assert sorted((r["doc_id"], r["text"]) for r in keep_one(df).collect()) == [(7, "0 1 2 3 4 5"), (7, near[0])]
+
+
+def test_a_comparison_of_many_near_copies_needs_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from acreline.llm import nearjoin
+
+    n = 3000
+    texts = [" ".join([*(f"w{k}" for k in range(i % 60)), f"e{i}", *(f"w{k}" for k in range(i % 60 + 1, 60))]) for i in range(n)]
+    made = pa.table({"side": pa.array([0] * n, pa.int32()), "rep": np.arange(n)[::-1].copy(), "copies": np.ones(n, dtype=np.int64), "text": texts})
+    tracemalloc.start()
+    got = nearjoin._compare(made, 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.num_rows == n and set(got["to"].to_pylist()) == {0}
+    # two of them share more than 4/5 of 56 shingles if they differ at one place or close to an end
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(56)} for t in texts[:60]]
+    kind = [[len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets]
+    alike = [[len({s for s in a if not any(w[0] == "e" for w in s)} & b) for b in sets] for a in sets]
+    for i in range(60):
+        same = alike[i][i]
+        own = n // 60 - 1 if same >= 0.8 * (2 * 56 - same) else 0
+        others = sum(n // 60 for j in range(60) if j != i and kind[i][j])
+        assert got["links"].to_pylist()[n - 1 - i] == own + others
+    assert peak < 80e6
