@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from acreline.functions import geometry as geo
 from acreline.functions.codes import PIXEL_M
-from acreline.operators.blocks import ABSENT, Block, dealt
+from acreline.operators.blocks import ABSENT, BLOCK, Block, dealt
 
+#: Side of the squares by which shapes of one key are united first.
+PIECE_M = float(BLOCK * PIXEL_M)
 # directions west, south, east, north, as steps of (row, column)
 _DR, _DC = np.array([0, 1, 0, -1]), np.array([-1, 0, 1, 0])
 
@@ -236,15 +238,23 @@ def burned(lines: DataFrame, pixel: float = PIXEL_M, origin: tuple[float, float]
 
 
 def merge_shapes(shapes: DataFrame, by: list[str]) -> DataFrame:
-    """``geometry`` of rows with one key united, their borders cancelled; ``area_sqm`` summed."""
+    """``geometry`` of rows with one key united, their borders cancelled; ``area_sqm`` summed.
+
+    Shapes of one key meet by places of PIECE_M first, and only the unions of these in one task.
+    """
     schema = shapes.select(*by).schema.add("geometry", "binary").add("area_sqm", "double")
 
     def unite(table: pa.Table) -> pa.Table:
+        table = table.select([*by, "geometry", "area_sqm"])
+        if len(table) == 1:
+            return table
         made = geo.encode(geo.union_coverage([geo.decode(w)[1] for w in table.column("geometry").to_pylist()]))
         keys = {b: table.column(b).slice(0, 1) for b in by}
         return pa.table({**keys, "geometry": pa.array([made], pa.binary()), "area_sqm": pa.array([sum(table.column("area_sqm").to_pylist())], pa.float64())})
 
-    return shapes.select(*by, "geometry", "area_sqm").groupBy(*by).applyInArrow(unite, schema)
+    at = lambda c: F.floor(F.col(f"_b.{c}") / PIECE_M)
+    placed = shapes.select(*by, "geometry", "area_sqm", geo.wkb_bounds("geometry").alias("_b")).select(*by, "geometry", "area_sqm", at("xmin").alias("_px"), at("ymin").alias("_py"))
+    return placed.groupBy(*by, "_px", "_py").applyInArrow(unite, schema).groupBy(*by).applyInArrow(unite, schema)
 
 
 def with_bounds(shapes: DataFrame) -> DataFrame:
